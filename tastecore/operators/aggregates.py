@@ -48,16 +48,20 @@ def ordered_rows(df: DataFrame, by: str, order: Sequence[Column | str]) -> DataF
     return rank_within(df, [by], order)
 
 
-def ordered_lists(df: DataFrame, by: str, item: str, order: Sequence[Column | str], k: int) -> DataFrame:
-    """The first k items of every group as an array.
+def top_rows(df: DataFrame, by: str, order: Sequence[Column | str], k: int) -> DataFrame:
+    """The first k rows of every group with their position, from 1.
 
-    The rank filter is pushed below the shuffle, so a task sends k rows per
-    group at most, and no list is longer than k.
+    Catalyst pushes the rank limit below the shuffle, so a task sends k rows
+    per group at most and a hot group costs no more than a small one.
     """
     place = F.row_number().over(Window.partitionBy(by).orderBy(*order))
-    first = df.withColumn("_place", place).filter(F.col("_place") <= k)
-    pairs = F.sort_array(F.collect_list(F.struct("_place", item)))
-    return first.groupBy(by).agg(pairs.getField(item).alias("items"))
+    return df.withColumn("position", place).filter(F.col("position") <= k)
+
+
+def ordered_lists(df: DataFrame, by: str, item: str, order: Sequence[Column | str], k: int) -> DataFrame:
+    """The first k items of every group as an array, in order."""
+    pairs = F.sort_array(F.collect_list(F.struct("position", item)))
+    return top_rows(df, by, order, k).groupBy(by).agg(pairs.getField(item).alias("items"))
 
 
 def collect_distinct(df: DataFrame, col: str) -> DataFrame:
@@ -129,4 +133,5 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 2) -> D
     matrix = Correlation.corr(vectors, "v", "pearson").head()[0].toArray()
     entries = [(a, b, float(matrix[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     rows = df.sparkSession.createDataFrame(entries, "i string, j string, corr double")
-    return rows.withColumn("corr", F.round("corr", digits))
+    # Adding 0.0 turns a rounded -0.0 into 0.0.
+    return rows.withColumn("corr", F.round("corr", digits) + F.lit(0.0))

@@ -26,8 +26,13 @@ FEATURE_SETS = (
     "msd-trh-v1.0",
     "msd-tssd-v1.0",
 )
-TRIPLET_SCHEMA = T.StructType.fromDDL("user_id string, song_id string, playcount int")
-GENRE_SCHEMA = T.StructType.fromDDL("track_id string, genre string")
+TRIPLET_SCHEMA = (
+    T.StructType()
+    .add("user_id", T.StringType())
+    .add("song_id", T.StringType())
+    .add("playcount", T.IntegerType())
+)
+GENRE_SCHEMA = T.StructType().add("track_id", T.StringType()).add("genre", T.StringType())
 MISMATCH_FIELDS = {"song_id": (9, 18), "track_id": (28, 18)}
 
 # A schema lives on the driver; no feature table comes near this many columns.
