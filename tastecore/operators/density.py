@@ -58,9 +58,10 @@ def kde(
     n, sd = F.col("_n").cast("double"), F.col("_sd")
     if bandwidth == "scott":
         width = sd * F.pow(n, F.lit(-0.2))
+    elif bandwidth == "nrd0" and by is None:
+        width = 0.9 * F.least(sd, interquartile_range(df, col) / 1.34) * F.pow(n, F.lit(-0.2))
     elif bandwidth == "nrd0":
-        bounds = interquartile_range(df, col, bounds, keys)
-        width = 0.9 * F.least(sd, F.col("_iqr") / 1.34) * F.pow(n, F.lit(-0.2))
+        raise ValueError("nrd0 needs quartiles, which are per column: filter to one class first")
     else:
         width = F.lit(float(bandwidth))
     # One row per class: staged, so its real size decides how it is joined.

@@ -1,29 +1,118 @@
 """Exact quantiles that never gather the values in one place.
 
-Equal values collapse to counts before the shuffle; the counts get running
-totals over a range sort; each quantile is then one conditional minimum.
+A first pass takes a mergeable sketch of each column, which brackets every
+wanted quantile within a guaranteed rank error. A second pass keeps the values
+inside the brackets and only counts those between them, so of a column with
+many distinct values some thousandths are shuffled and sorted. A column with
+few distinct values skips the brackets, as equal values collapse to counts.
+Should a bracket miss, the column is counted again without brackets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastecore.plans.ordering import running_totals
 
+# Sketch error in rank is n / ACCURACY; the brackets allow for three times that.
+ACCURACY = 10_000
+FEW_VALUES = 100_000
 
-def _cumulative(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+Bracket = tuple[object, object]
+
+
+def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[Bracket]]:
+    """Disjoint, rising value ranges that hold the quantiles; none for a column with few values.
+
+    Only these few numbers per column reach the driver.
+    """
+    inner = sorted({p for p in probs if 0 < p < 1})
+    reach = 3 / ACCURACY
+    ends = [min(1.0, max(0.0, p + side)) for p in inner for side in (-reach, reach)] or [0.5]
+    row = df.agg(
+        *[
+            F.struct(
+                F.approx_count_distinct(c).alias("distinct"),
+                F.min(c).alias("lo"),
+                F.max(c).alias("hi"),
+                F.percentile_approx(c, ends, ACCURACY).alias("ends"),
+            ).alias(c)
+            for c in cols
+        ]
+    ).head()
+    found = {}
+    for c in cols:
+        if row[c]["distinct"] <= FEW_VALUES:
+            found[c] = []
+            continue
+        marks = row[c]["ends"] if inner else []
+        ranges = [(row[c]["lo"], row[c]["lo"]), *zip(marks[::2], marks[1::2]), (row[c]["hi"], row[c]["hi"])]
+        merged = [ranges[0]]
+        for low, high in ranges[1:]:
+            if low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(merged[-1][1], high))
+            else:
+                merged.append((low, high))
+        found[c] = merged
+    return found
+
+
+def _coarse(col: str, brackets: Sequence[Bracket]) -> Column:
+    """struct(value, gap): the value itself inside a bracket, the end of the bracket below outside."""
+    value = F.col(col)
+
+    def key(v: Column, gap: int) -> Column:
+        return F.struct(v.alias("value"), F.lit(gap).alias("gap"))
+
+    if not brackets:
+        return key(value, 0)
+    out = key(F.lit(brackets[-1][1]), 1)
+    for i in reversed(range(len(brackets))):
+        low, high = brackets[i]
+        out = F.when((value >= F.lit(low)) & (value <= F.lit(high)), key(value, 0)).otherwise(out)
+        if i:
+            below = F.lit(brackets[i - 1][1])
+            out = F.when((value > below) & (value < F.lit(low)), key(below, 1)).otherwise(out)
+    return out
+
+
+def _counted(df: DataFrame, cols: Sequence[str], brackets: Mapping[str, Sequence[Bracket]]) -> DataFrame:
+    """(column, value, gap, rows, seen): seen counts the rows up to and including the value."""
+    coarse = [_coarse(c, brackets[c]).alias(c) for c in cols]
+    long = df.select(*coarse).unpivot([], list(cols), "column", "key").select("column", "key.value", "key.gap")
     counts = (
-        df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
+        long.filter(F.col("value").isNotNull())
+        .groupBy("column", "value", "gap")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    return running_totals(counts, [value], {"_seen": F.col("_count")}, by)
+    return running_totals(counts, ["value", "gap"], {"seen": F.col("rows")}, ["column"])
+
 
+def _at_rank(rank: Column) -> Column:
+    """struct(value, gap) at a rank counted from 1."""
+    return F.min(F.when(F.col("seen") >= rank, F.struct("value", "gap")))
 
-def _at_rank(value: str, rank: Column) -> Column:
-    """Smallest value whose running count reaches `rank` (from 1)."""
-    return F.min(F.when(F.col("_seen") >= rank, F.col(value)))
+
+def _by_rank(df: DataFrame, cols: Sequence[str], probs: Sequence[float], ranks) -> DataFrame:
+    """One row per column: its size `n` and `at`, the array of structs at ranks(n)."""
+
+    def pick(seen: DataFrame) -> DataFrame:
+        # Broadcast bound: one row per column of the input.
+        sizes = seen.groupBy("column").agg(F.max("seen").alias("n"))
+        return (
+            seen.join(F.broadcast(sizes), "column")
+            .groupBy("column", "n")
+            .agg(F.array(*[_at_rank(r) for r in ranks(F.col("n"))]).alias("at"))
+        )
+
+    brackets = _brackets(df, cols, probs)
+    found = pick(_counted(df, cols, brackets))
+    if any(brackets.values()) and not found.filter(F.exists("at", lambda s: s.gap == 1)).isEmpty():
+        found = pick(_counted(df, cols, {c: [] for c in cols}))
+    return found
 
 
 def quantiles(
@@ -31,25 +120,21 @@ def quantiles(
 ) -> DataFrame:
     """Discrete quantiles as rows (prob, value).
 
-    With error 0 they are exact values of the column; otherwise a mergeable
-    sketch answers within that relative rank error in a single pass.
+    With error 0 they are exact values of the column; otherwise the sketch
+    alone answers within that relative rank error, in a single pass.
     """
     probs = [float(p) for p in probs]
+    keys = F.array(*[F.lit(p) for p in probs])
     if error > 0:
-        accuracy = max(1, round(1 / error))
-        found = df.agg(F.percentile_approx(col, probs, accuracy).alias("values"))
+        found = df.agg(F.percentile_approx(col, probs, max(1, round(1 / error))).alias("at"))
+        value = F.col("q.at")
     else:
-        seen = _cumulative(df, col)
-        total = seen.agg(F.max("_seen")).scalar()
-        found = seen.agg(
-            F.array(*[_at_rank(col, F.greatest(F.lit(1), F.ceil(F.lit(p) * total))) for p in probs]).alias(
-                "values"
-            )
+        found = _by_rank(
+            df, [col], probs, lambda n: [F.greatest(F.lit(1), F.ceil(F.lit(p) * n)) for p in probs]
         )
-    keys = F.array(*[F.lit(p) for p in probs])
-    return found.select(F.explode(F.arrays_zip(keys.alias("prob"), F.col("values").alias("value"))).alias("q")).select(
-        F.col("q.prob").alias("prob"), F.col("q.value").alias("value")
-    )
+        value = F.col("q.at.value")
+    pairs = found.select(F.explode(F.arrays_zip(keys.alias("prob"), "at")).alias("q"))
+    return pairs.select(F.col("q.prob").alias("prob"), value.alias("value"))
 
 
 def quantile_value(df: DataFrame, col: str, q: float) -> Column:
@@ -57,46 +142,47 @@ def quantile_value(df: DataFrame, col: str, q: float) -> Column:
     return quantiles(df, col, [q]).select("value").scalar()
 
 
-def _interpolated(value: str, prob: float, n: Column) -> Column:
-    place = F.lit(float(prob)) * (n - F.lit(1))
-    low = _at_rank(value, F.floor(place) + 1)
-    high = _at_rank(value, F.ceil(place) + 1)
-    return low + (high - low) * (place - F.floor(place))
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def _quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Interpolated quartiles q1, median, q3 per column."""
 
+    def ranks(n: Column) -> list[Column]:
+        places = [F.lit(p) * (n - 1) for p in QUARTILES]
+        return [side(place) + 1 for place in places for side in (F.floor, F.ceil)]
 
-def _sizes(seen: DataFrame, by: Sequence[str]) -> DataFrame:
-    return seen.groupBy(*by).agg(F.max("_seen").alias("_n"))
+    found = _by_rank(df, cols, QUARTILES, ranks)
+
+    def between(i: int) -> Column:
+        place = F.lit(QUARTILES[i]) * (F.col("n") - 1)
+        low, high = F.col("at")[2 * i].value, F.col("at")[2 * i + 1].value
+        return low + (high - low) * (place - F.floor(place))
+
+    return found.select(
+        "column", *[between(i).alias(name) for i, name in enumerate(("q1", "median", "q3"))]
+    )
+
+
+def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) for c in cols])
 
 
 def summary_quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """min, Q1, median, mean, Q3, max per column; quartiles are interpolated."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], list(cols), "column", "value"
-    )
-    seen = _cumulative(long, "value", ["column"])
+    numbers = _numbers(df, cols)
+    ends = numbers.agg(
+        *[F.struct(F.min(c).alias("min"), F.avg(c).alias("mean"), F.max(c).alias("max")).alias(c) for c in cols]
+    ).unpivot([], list(cols), "column", "s")
     # Broadcast bound: one row per column of the input.
-    ready = seen.join(F.broadcast(_sizes(seen, ["column"])), "column")
-    n = F.col("_n")
-    stats = ready.groupBy("column", "_n").agg(
-        F.min("value").alias("min"),
-        _interpolated("value", 0.25, n).alias("q1"),
-        _interpolated("value", 0.5, n).alias("median"),
-        (F.sum(F.col("value") * F.col("_count")) / F.sum("_count")).alias("mean"),
-        _interpolated("value", 0.75, n).alias("q3"),
-        F.max("value").alias("max"),
+    return (
+        ends.select("column", "s.*")
+        .join(F.broadcast(_quartiles(numbers, cols)), "column")
+        .select("column", "min", "q1", "median", "mean", "q3", "max")
     )
-    return stats.drop("_n")
-
-
-def interquartile_range(df: DataFrame, col: str, groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add `_iqr`, the interpolated Q3 - Q1 of a numeric column, to one row per group."""
-    values = df.select(*by, F.col(col).cast("double").alias(col))
-    seen = _cumulative(values, col, by)
-    if not by:
-        n = seen.agg(F.max("_seen")).scalar()
-        spread = seen.agg(_interpolated(col, 0.75, n) - _interpolated(col, 0.25, n)).scalar()
-        return groups.select("*", spread.alias("_iqr"))
-    n = F.col("_n")
-    spread = _interpolated(col, 0.75, n) - _interpolated(col, 0.25, n)
-    found = seen.join(_sizes(seen, by), list(by)).groupBy(*by, "_n").agg(spread.alias("_iqr")).drop("_n")
-    return groups.join(found, list(by))
+
+
+def interquartile_range(df: DataFrame, col: str) -> Column:
+    """Interpolated Q3 - Q1 as a scalar subquery."""
+    row = _quartiles(_numbers(df, [col]), [col])
+    return row.select(F.col("q3") - F.col("q1")).scalar()

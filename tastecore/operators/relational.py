@@ -34,7 +34,8 @@ def rename_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def filter_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(cols))
+    """Drop nulls but not NaN, which dropna would take along."""
+    return reduce(lambda out, c: out.filter(F.col(c).isNotNull()), cols, df)
 
 
 def filter_below_quantile(df: DataFrame, col: str, q: float, strict: bool = True) -> DataFrame:

@@ -13,21 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one in local tests only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named in spark.checkpoint.dir, or the checkpoint folder set by hand.
+
+    Only a local session without either gets a temporary folder of its own.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tastecore-")
-    spark.sparkContext.setCheckpointDir(folder)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tastecore-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has written to yet."""
-    return f"{shared_folder(spark).rstrip('/')}/tastecore/{label}-{uuid.uuid4().hex}"
+    """A path nothing has written to yet, in the shared folder, under the application's id."""
+    folder = shared_folder(spark).rstrip("/")
+    return f"{folder}/tastecore-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

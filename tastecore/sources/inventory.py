@@ -16,6 +16,7 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Every file below `root`: relative path, directory, depth, bytes.
 
     Only path and length are read; file contents are pruned from the scan.
+    Empty files, hidden files and names starting with _ are left out by Spark.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     parts = F.split("path", "/")
@@ -43,13 +44,6 @@ def directory_usage(inventory: DataFrame, depth: int) -> DataFrame:
 
 
 def file_line_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Lines per file, compressed files included; a file without lines counts 0."""
-    name = F.col("_metadata.file_path").alias("path")
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(name)
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path)
-        .groupBy(name)
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
-    return listed.join(lines, "path", "left").fillna(0, ["lines"])
+    """Lines per file, compressed files included; Spark scans leave out empty files."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    return lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("lines"))
