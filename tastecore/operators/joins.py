@@ -37,7 +37,8 @@ def active_triplets(triplets: DataFrame, q: float = 0.25) -> DataFrame:
     Both thresholds are the q-quantile of the unfiltered triplets: one round.
     Hot songs and users are above the thresholds by definition, so the two
     lists hold rare keys only. Per-song and per-user totals are staged because
-    threshold and list both need them.
+    threshold and list both need them; the triplets are read three times, so
+    pass a stored table or a filter over one.
     """
     songs = stage(song_popularity(triplets), "songs")
     users = stage(user_activity(triplets), "users")

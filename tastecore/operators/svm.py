@@ -7,11 +7,13 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import Model, Pipeline
-from pyspark.ml.classification import LinearSVC, OneVsRest
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastecore.operators.classify import one_vs_rest
+
 
 def _linear(rows: int, features: str, label: str, c: float, **params) -> LinearSVC:
     """Spark weighs the mean loss, so C per row becomes regParam = 1 / (C * rows)."""
@@ -29,7 +31,7 @@ def linear_svm(
     """Binary linear SVM, or one per class against the rest."""
     svc = _linear(df.count(), features, label, c, **params)
     if multiclass:
-        return OneVsRest(classifier=svc, featuresCol=features, labelCol=label).fit(df)
+        return one_vs_rest(svc, features, label).fit(df)
     return svc.fit(df)
 
 
@@ -86,6 +88,6 @@ def rbf_svm(
         stages=[
             SQLTransformer(statement=_fourier_sql(cols, gamma, n_features, seed)),
             VectorAssembler(inputCols=names, outputCol="rff"),
-            OneVsRest(classifier=svc, featuresCol="rff", labelCol=label),
+            one_vs_rest(svc, "rff", label),
         ]
     ).fit(df)

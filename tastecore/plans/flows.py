@@ -39,7 +39,7 @@ def _split_for_training(
     """Staged training (with fold numbers) and test rows; every fit reads them again."""
     rows = with_folds(df, keys, folds).select(*dict.fromkeys([*keys, "label", features, FOLD]))
     training, test = hash_split(rows, keys, fraction, "split")
-    return stage(training, "training"), stage(test, "test")
+    return stage(training, "training", spread=keys), stage(test, "test")
 
 
 def _tagged(metrics: DataFrame, name: str, variant: str) -> DataFrame:
@@ -67,7 +67,7 @@ def binary_experiment(
     """
     labels = df.withColumn("label", binary_label(target, positive))
     training, test = _split_for_training(labels, keys, features, fraction, folds)
-    balanced = stage(balance(training, "label", keys), "balanced")
+    balanced = stage(balance(training, "label", keys), "balanced", spread=keys)
     rows = []
     for name, estimator, search in algorithms:
         runs = [("normal", estimator, training), ("balance", estimator, balanced)]
@@ -95,7 +95,7 @@ def multiclass_experiment(
     """
     labels = index_strings(df.drop("label"), target, "label")
     training, test = _split_for_training(labels, keys, features, fraction, folds)
-    capped = stage(cap_classes(training, "label", cap, keys, fractions_from=labels), "capped")
+    capped = stage(cap_classes(training, "label", cap, keys, fractions_from=labels), "capped", spread=keys)
     rows = []
     for name, estimator, search in algorithms:
         runs = [
@@ -123,10 +123,11 @@ def recommendation_experiment(
 ) -> DataFrame:
     """Clean, cut to active triplets, index, hold out, train ALS, and measure.
 
-    `users` is the number of top test rows whose users are evaluated. The
-    matched triplets and the indexed table are staged, as several steps read them.
+    `users` is the number of top test rows whose users are evaluated. Pass a
+    stored table of triplets: it is read by several steps, each time through a
+    filter by the mismatch list. The indexed table is staged.
     """
-    matched = stage(remove_mismatches(triplets, mismatches), "matched")
+    matched = remove_mismatches(triplets, mismatches)
     dataset = stage(index_triplets(active_triplets(matched, q)), "dataset")
     training, test = user_holdout(dataset, fraction)
     model = train_als(training, **als)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,9 +34,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/tastecore-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write once, then read back."""
+def stage(df: DataFrame, label: str = "stage", spread: Sequence[str] = ()) -> DataFrame:
+    """Write once, then read back.
+
+    `spread` names near-unique columns to hash the rows by first, which evens
+    out the files of a table that is about to be read many times, as in training.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.repartition(*spread) if spread else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

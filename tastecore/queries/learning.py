@@ -14,14 +14,14 @@ from tastecore.plans.staging import stage
 from tastecore.queries.registry import query
 from tastecore.queries.tables import (
     ACTIVE_SQL,
-    KEYS,
+    LINE_KEYS,
     MEASURES,
     active,
     embedded,
     embedded_binary,
     mismatches,
     table,
-    triplets,
+    triplets_table,
 )
 
 # --- classifiers on the labelled vectors -------------------------------------------
@@ -29,7 +29,7 @@ from tastecore.queries.tables import (
 
 def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     training, test = sampling.hash_split(df, ["vec_id"], 0.7, "split")
-    return stage(training, "training"), test
+    return stage(training, "training", spread=["vec_id"]), test
 
 
 def _binary(spark: SparkSession, sf_dir: str, estimator: Estimator) -> DataFrame:
@@ -58,7 +58,7 @@ def _search(spark: SparkSession, sf_dir: str, kind: str, grid: dict, **params) -
     """Mean F1 over two folds for each grid point."""
     rows = sampling.with_folds(embedded_binary(spark, sf_dir), ["vec_id"], 2)
     search = classify.cross_validate(classify.classifier(kind, **params), grid, folds=2, fold_col="fold")
-    model = search.fit(stage(rows, "folds"))
+    model = search.fit(stage(rows, "folds", spread=["vec_id"]))
     found = [
         (", ".join(f"{p.name}={v}" for p, v in point.items()), float(score))
         for point, score in zip(search.getEstimatorParamMaps(), model.avgMetrics)
@@ -118,14 +118,15 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their flag as class 0, 1 or 2."""
     flag = F.col("l_returnflag")
     label = F.when(flag == "A", 0.0).when(flag == "N", 1.0).otherwise(2.0)
-    return table(spark, sf_dir, "lineitem").select(*MEASURES, label.alias("label"))
+    return table(spark, sf_dir, "lineitem").select(*MEASURES, *LINE_KEYS, label.alias("label"))
 
 
 def _pair(rows: DataFrame, positions: tuple[int, int]) -> tuple[DataFrame, list[str]]:
     """Two feature columns, as `features`, next to the label."""
     cols = [MEASURES[p] for p in positions]
-    picked = relational.select_positions(rows, (*positions, rows.columns.index("label")))
-    return stage(features.assemble(picked, cols), "pair"), cols
+    rest = [rows.columns.index(c) for c in (*LINE_KEYS, "label")]
+    picked = relational.select_positions(rows, (*positions, *rest))
+    return stage(features.assemble(picked, cols), "pair", spread=LINE_KEYS).drop(*LINE_KEYS), cols
 
 
 @query("linear_svm_binary")
@@ -225,4 +226,4 @@ def als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("recommendation_experiment")
 def recommendation_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.recommendation_experiment(triplets(spark, sf_dir), mismatches(spark, sf_dir))
+    return flows.recommendation_experiment(triplets_table(spark, sf_dir), mismatches(spark, sf_dir))

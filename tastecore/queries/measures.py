@@ -129,7 +129,7 @@ FROM matched JOIN {_CODES.format(c='user_id', o='u', t='matched')} USING (user_i
 JOIN {_CODES.format(c='song_id', o='i', t='matched')} USING (song_id)""",
 )
 def index_users_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.index_triplets(stage(matched(spark, sf_dir), "matched"))
+    return features.index_triplets(matched(spark, sf_dir, stored=True))
 
 
 _RFF = {"cols": ["l_discount", "l_tax"], "gamma": 0.7, "n_features": 8, "seed": 0}

@@ -38,13 +38,19 @@ def mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").filter("p_size = 1").select(F.col("p_partkey").alias("song_id"))
 
 
-def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_mismatches(triplets(spark, sf_dir), mismatches(spark, sf_dir))
+def triplets_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triplets written out once, as the stored table that an analysis of several steps starts from."""
+    return stage(triplets(spark, sf_dir), "triplets")
+
+
+def matched(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """Triplets without mismatched songs; `stored` where more than one step reads them."""
+    rows = triplets_table(spark, sf_dir) if stored else triplets(spark, sf_dir)
+    return remove_mismatches(rows, mismatches(spark, sf_dir))
 
 
 def active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three steps read the matched triplets, which here come out of a join: staged."""
-    return active_triplets(stage(matched(spark, sf_dir), "matched"))
+    return active_triplets(matched(spark, sf_dir, stored=True))
 
 
 def active_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -22,6 +22,7 @@ from tastecore.queries.tables import (
     mismatches,
     table,
     triplets,
+    triplets_table,
 )
 
 # --- projections and filters --------------------------------------------------
@@ -188,7 +189,7 @@ def most_active_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT user_id, song_id FROM matched WHERE user_id IN (SELECT user_id FROM top)""",
 )
 def most_active_user_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(matched(spark, sf_dir), "matched")
+    rows = matched(spark, sf_dir, stored=True)
     return aggregates.songs_of(rows, aggregates.most_active(rows)).select("user_id", "song_id")
 
 
@@ -215,8 +216,8 @@ UNION ALL SELECT 'matched', COUNT(*) FROM matched UNION ALL SELECT 'active', COU
 UNION ALL SELECT 'test', COUNT(*) FROM test UNION ALL SELECT 'training', COUNT(*) FROM training""",
 )
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = stage(triplets(spark, sf_dir), "triplets")
-    clean = stage(joins.remove_mismatches(raw, mismatches(spark, sf_dir)), "matched")
+    raw = triplets_table(spark, sf_dir)
+    clean = joins.remove_mismatches(raw, mismatches(spark, sf_dir))
     kept = stage(joins.active_triplets(clean), "active")
     training, test = user_holdout(kept, keys=KEYS)
     frames = {"triplets": raw, "matched": clean, "active": kept, "test": test, "training": training}
@@ -228,7 +229,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{MATCHED_SQL} SELECT COUNT(DISTINCT user_id) AS user_id, COUNT(DISTINCT song_id) AS song_id FROM matched",
 )
 def distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.distinct_count(stage(matched(spark, sf_dir), "matched"), KEYS)
+    return aggregates.distinct_count(matched(spark, sf_dir, stored=True), KEYS)
 
 
 CAP = 100
@@ -291,7 +292,7 @@ _QUANTILES = "SELECT '{t}' AS measure, {p}::DOUBLE AS prob, quantile_disc({c}, {
     ),
 )
 def exact_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(matched(spark, sf_dir), "matched")
+    rows = matched(spark, sf_dir, stored=True)
     songs = quantiles.quantiles(aggregates.song_popularity(rows), "playcount")
     users = quantiles.quantiles(aggregates.user_activity(rows), "songcount")
     return relational.union_all(
