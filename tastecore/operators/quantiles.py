@@ -24,10 +24,13 @@ FEW_VALUES = 100_000
 Bracket = tuple[object, object]
 
 
-def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[Bracket]]:
-    """Disjoint, rising value ranges that hold the quantiles; none for a column with few values.
+def _brackets(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float]
+) -> tuple[dict[str, int], dict[str, list[Bracket]]]:
+    """Per column its number of values, and disjoint, rising ranges that hold the quantiles.
 
-    Only these few numbers per column reach the driver.
+    A column with few values has no ranges. Only these few numbers per column
+    reach the driver.
     """
     inner = sorted({p for p in probs if 0 < p < 1})
     reach = 3 / ACCURACY
@@ -35,6 +38,7 @@ def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dic
     row = df.agg(
         *[
             F.struct(
+                F.count(c).alias("n"),
                 F.approx_count_distinct(c).alias("distinct"),
                 F.min(c).alias("lo"),
                 F.max(c).alias("hi"),
@@ -57,7 +61,7 @@ def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dic
             else:
                 merged.append((low, high))
         found[c] = merged
-    return found
+    return {c: row[c]["n"] for c in cols}, found
 
 
 def _coarse(col: str, brackets: Sequence[Bracket]) -> Column:
@@ -92,23 +96,27 @@ def _counted(df: DataFrame, cols: Sequence[str], brackets: Mapping[str, Sequence
 
 
 def _at_rank(rank: Column) -> Column:
-    """struct(value, gap) at a rank counted from 1."""
-    return F.min(F.when(F.col("seen") >= rank, F.struct("value", "gap")))
+    """struct(value, gap) at a rank counted from 1.
+
+    Minima of plain numbers, which a hash aggregate can update in place.
+    """
+    reached = F.col("seen") >= rank
+    exact = F.min(F.when(reached & (F.col("gap") == 0), F.col("seen")))
+    missed = F.min(F.when(reached & (F.col("gap") == 1), F.col("seen")))
+    gap = F.when(missed.isNotNull() & (exact.isNull() | (missed < exact)), 1).otherwise(0)
+    return F.struct(F.min(F.when(reached, F.col("value"))).alias("value"), gap.alias("gap"))
 
 
 def _by_rank(df: DataFrame, cols: Sequence[str], probs: Sequence[float], ranks) -> DataFrame:
     """One row per column: its size `n` and `at`, the array of structs at ranks(n)."""
+    sizes, brackets = _brackets(df, cols, probs)
+    # One row per column of the input.
+    known = df.sparkSession.createDataFrame(list(sizes.items()), "column string, n long")
 
     def pick(seen: DataFrame) -> DataFrame:
-        # Broadcast bound: one row per column of the input.
-        sizes = seen.groupBy("column").agg(F.max("seen").alias("n"))
-        return (
-            seen.join(F.broadcast(sizes), "column")
-            .groupBy("column", "n")
-            .agg(F.array(*[_at_rank(r) for r in ranks(F.col("n"))]).alias("at"))
-        )
+        at = F.array(*[_at_rank(r) for r in ranks(F.col("n"))])
+        return seen.join(F.broadcast(known), "column").groupBy("column", "n").agg(at.alias("at"))
 
-    brackets = _brackets(df, cols, probs)
     found = pick(_counted(df, cols, brackets))
     if any(brackets.values()) and not found.filter(F.exists("at", lambda s: s.gap == 1)).isEmpty():
         found = pick(_counted(df, cols, {c: [] for c in cols}))

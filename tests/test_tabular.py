@@ -131,14 +131,15 @@ def test_bracketed_quantiles_are_exact(spark, monkeypatch, many_chunks, probs):
     assert want == [values[max(0, math.ceil(p * len(values)) - 1)] for p in probs]
     monkeypatch.setattr(quantiles, "FEW_VALUES", 10)
     assert [r["value"] for r in quantiles.quantiles(df, "v", probs).orderBy("prob").collect()] == want
-    brackets = quantiles._brackets(df, ["v"], probs)
+    _, brackets = quantiles._brackets(df, ["v"], probs)
     assert quantiles._counted(df, ["v"], brackets).count() < 1000
 
 
 def test_missed_bracket_falls_back(spark, monkeypatch):
     df = _skewed(spark)
     want = quantiles.summary_quartiles(df, ["v"]).head()
-    monkeypatch.setattr(quantiles, "_brackets", lambda *_: {"v": [(0.0, 0.0), (99.0, 99.5)]})
+    sizes, _ = quantiles._brackets(df, ["v"], [0.5])
+    monkeypatch.setattr(quantiles, "_brackets", lambda *_: (sizes, {"v": [(0.0, 0.0), (99.0, 99.5)]}))
     assert quantiles.summary_quartiles(df, ["v"]).head() == want
 
 
