@@ -3,14 +3,16 @@
 A first pass takes a mergeable sketch of each column, which brackets every
 wanted quantile within a guaranteed rank error. A second pass keeps the values
 inside the brackets and only counts those between them, so of a column with
-many distinct values some thousandths are shuffled and sorted. A column with
-few distinct values skips the brackets, as equal values collapse to counts.
-Should a bracket miss, the column is counted again without brackets.
+many distinct values some thousandths are shuffled and sorted. Should a bracket
+miss, the column is counted again without brackets. For a column that the first
+pass found to have few distinct values Spark's own exact percentiles do, whose
+buffer holds one entry per distinct value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +31,8 @@ def _brackets(
 ) -> tuple[dict[str, int], dict[str, list[Bracket]]]:
     """Per column its number of values, and disjoint, rising ranges that hold the quantiles.
 
-    A column with few values has no ranges. Only these few numbers per column
-    reach the driver.
+    A column with few values has no ranges, or a single one for values that a
+    double cannot hold. Only these few numbers per column reach the driver.
     """
     inner = sorted({p for p in probs if 0 < p < 1})
     reach = 3 / ACCURACY
@@ -50,7 +52,7 @@ def _brackets(
     found = {}
     for c in cols:
         if row[c]["distinct"] <= FEW_VALUES:
-            found[c] = []
+            found[c] = [] if _fits_double(row[c]["lo"], row[c]["hi"]) else [(row[c]["lo"], row[c]["hi"])]
             continue
         marks = row[c]["ends"] if inner else []
         ranges = [(row[c]["lo"], row[c]["lo"]), *zip(marks[::2], marks[1::2]), (row[c]["hi"], row[c]["hi"])]
@@ -64,6 +66,11 @@ def _brackets(
     return {c: row[c]["n"] for c in cols}, found
 
 
+def _fits_double(low, high) -> bool:
+    """Spark's percentiles answer in doubles, which are exact up to 2^53."""
+    return all(v is None or isinstance(v, float) or (isinstance(v, int) and abs(v) <= 2**53) for v in (low, high))
+
+
 def _coarse(col: str, brackets: Sequence[Bracket]) -> Column:
     """struct(value, gap): the value itself inside a bracket, the end of the bracket below outside."""
     value = F.col(col)
@@ -107,18 +114,18 @@ def _at_rank(rank: Column) -> Column:
     return F.struct(F.min(F.when(reached, F.col("value"))).alias("value"), gap.alias("gap"))
 
 
-def _by_rank(df: DataFrame, cols: Sequence[str], probs: Sequence[float], ranks) -> DataFrame:
+def _by_rank(df: DataFrame, sizes: Mapping[str, int], brackets: Mapping[str, Sequence[Bracket]], ranks) -> DataFrame:
     """One row per column: its size `n` and `at`, the array of structs at ranks(n)."""
-    sizes, brackets = _brackets(df, cols, probs)
+    cols = list(brackets)
     # One row per column of the input.
-    known = df.sparkSession.createDataFrame(list(sizes.items()), "column string, n long")
+    known = df.sparkSession.createDataFrame([(c, sizes[c]) for c in cols], "column string, n long")
 
     def pick(seen: DataFrame) -> DataFrame:
         at = F.array(*[_at_rank(r) for r in ranks(F.col("n"))])
         return seen.join(F.broadcast(known), "column").groupBy("column", "n").agg(at.alias("at"))
 
     found = pick(_counted(df, cols, brackets))
-    if any(brackets.values()) and not found.filter(F.exists("at", lambda s: s.gap == 1)).isEmpty():
+    if not found.filter(F.exists("at", lambda s: s.gap == 1)).isEmpty():
         found = pick(_counted(df, cols, {c: [] for c in cols}))
     return found
 
@@ -133,16 +140,22 @@ def quantiles(
     """
     probs = [float(p) for p in probs]
     keys = F.array(*[F.lit(p) for p in probs])
+    value = F.col("q.at")
     if error > 0:
         found = df.agg(F.percentile_approx(col, probs, max(1, round(1 / error))).alias("at"))
-        value = F.col("q.at")
     else:
-        found = _by_rank(
-            df, [col], probs, lambda n: [F.greatest(F.lit(1), F.ceil(F.lit(p) * n)) for p in probs]
-        )
-        value = F.col("q.at.value")
+        sizes, brackets = _brackets(df, [col], probs)
+        if brackets[col]:
+            found = _by_rank(
+                df, sizes, brackets, lambda n: [F.greatest(F.lit(1), F.ceil(F.lit(p) * n)) for p in probs]
+            )
+            value = F.col("q.at.value")
+        else:
+            exact = [F.expr(f"percentile_disc({p!r}D) WITHIN GROUP (ORDER BY `{col}`)") for p in probs]
+            found = df.agg(F.array(*exact).alias("at"))
     pairs = found.select(F.explode(F.arrays_zip(keys.alias("prob"), "at")).alias("q"))
-    return pairs.select(F.col("q.prob").alias("prob"), value.alias("value"))
+    kind = df.schema[col].dataType
+    return pairs.select(F.col("q.prob").alias("prob"), value.cast(kind).alias("value"))
 
 
 def quantile_value(df: DataFrame, col: str, q: float) -> Column:
@@ -155,21 +168,28 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def _quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Interpolated quartiles q1, median, q3 per column."""
-
-    def ranks(n: Column) -> list[Column]:
-        places = [F.lit(p) * (n - 1) for p in QUARTILES]
-        return [side(place) + 1 for place in places for side in (F.floor, F.ceil)]
-
-    found = _by_rank(df, cols, QUARTILES, ranks)
-
-    def between(i: int) -> Column:
-        place = F.lit(QUARTILES[i]) * (F.col("n") - 1)
-        low, high = F.col("at")[2 * i].value, F.col("at")[2 * i + 1].value
-        return low + (high - low) * (place - F.floor(place))
-
-    return found.select(
-        "column", *[between(i).alias(name) for i, name in enumerate(("q1", "median", "q3"))]
-    )
+    names = ("q1", "median", "q3")
+    sizes, brackets = _brackets(df, cols, QUARTILES)
+    few = [c for c in cols if not brackets[c]]
+    parts = []
+    if few:
+        row = df.agg(*[F.percentile(c, list(QUARTILES)).alias(c) for c in few])
+        long = row.unpivot([], few, "column", "q")
+        parts.append(long.select("column", *[F.col("q")[i].alias(name) for i, name in enumerate(names)]))
+    if len(few) < len(cols):
+
+        def ranks(n: Column) -> list[Column]:
+            places = [F.lit(p) * (n - 1) for p in QUARTILES]
+            return [side(place) + 1 for place in places for side in (F.floor, F.ceil)]
+
+        def between(i: int) -> Column:
+            place = F.lit(QUARTILES[i]) * (F.col("n") - 1)
+            low, high = F.col("at")[2 * i].value, F.col("at")[2 * i + 1].value
+            return low + (high - low) * (place - F.floor(place))
+
+        found = _by_rank(df, sizes, {c: brackets[c] for c in cols if brackets[c]}, ranks)
+        parts.append(found.select("column", *[between(i).alias(name) for i, name in enumerate(names)]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -151,6 +151,17 @@ def test_bracketed_quartiles_interpolate(spark, monkeypatch):
     assert df.agg(F.percentile("v", 0.75)).head()[0] == pytest.approx(want["q3"])
 
 
+def test_quantiles_of_long_values_keep_every_digit(spark):
+    df = spark.range(5).select((F.col("id") + 2**60).alias("v"))
+    assert [r["value"] - 2**60 for r in quantiles.quantiles(df, "v").orderBy("prob").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_quantiles_of_nothing(spark):
+    empty = spark.createDataFrame([(None,)], "v int")
+    assert {r["value"] for r in quantiles.quantiles(empty, "v").collect()} <= {None}
+    assert relational.filter_below_quantile(empty, "v", 0.25).count() == 0
+
+
 def test_column_helpers(spark):
     row = spark.range(1).select(
         safe_ratio(F.lit(1), F.lit(0)).alias("a"),
