@@ -125,9 +125,10 @@ def _by_rank(df: DataFrame, sizes: Mapping[str, int], brackets: Mapping[str, Seq
         return seen.join(F.broadcast(known), "column").groupBy("column", "n").agg(at.alias("at"))
 
     found = pick(_counted(df, cols, brackets))
-    if not found.filter(F.exists("at", lambda s: s.gap == 1)).isEmpty():
-        found = pick(_counted(df, cols, {c: [] for c in cols}))
-    return found
+    rows = found.collect()
+    if any(place["gap"] for row in rows for place in row["at"]):
+        return pick(_counted(df, cols, {c: [] for c in cols}))
+    return df.sparkSession.createDataFrame(rows, found.schema)
 
 
 def quantiles(
