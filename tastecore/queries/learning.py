@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastecore.functions import binary_label
-from tastecore.operators import aggregates, classify, density, features, metrics, recommend, relational, sampling, svm
+from tastecore.operators import classify, density, features, metrics, recommend, relational, sampling, svm
 from tastecore.plans import flows
 from tastecore.plans.staging import stage
 from tastecore.queries.registry import query
