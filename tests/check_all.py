@@ -1,5 +1,10 @@
-"""Run queries against their SQL: python tests/check_all.py [sf_dir] [name ...]"""
+"""Run queries against their SQL: python tests/check_all.py [sf_dir] [name ...]
 
+CHECK_LARGE=1 plans as for large data: no broadcast by size, every partition
+kept, quantiles by brackets.
+"""
+
+import os
 import sys
 import time
 from pathlib import Path
@@ -10,6 +15,13 @@ from oracle import connect, difference  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
+from tastecore.operators import quantiles  # noqa: E402
+
+LARGE = {
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
 
 if __name__ == "__main__":
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -22,6 +34,10 @@ if __name__ == "__main__":
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("CHECK_LARGE"):
+        quantiles.FEW_VALUES = 20
+        for key, value in LARGE.items():
+            spark.conf.set(key, value)
     con, sqls, bad = connect(sf_dir), contract.oracle_sql(), 0
     for name, run in contract.queries().items():
         if sys.argv[2:] and name not in sys.argv[2:]:
