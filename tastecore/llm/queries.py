@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastecore.llm import langid, license_scan, secret_scan, token_rollup
+from tastecore.llm import langid, license_scan, ngram_join, secret_scan, token_rollup
 from tastecore.plans.staging import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op6_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 TOKEN_COUNTS_SQL = r"""
 WITH kept AS (
   SELECT source, lang, coalesce(text, '') AS text FROM documents
