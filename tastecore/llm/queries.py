@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastecore.llm import langid, license_scan, ngram_join, secret_scan, token_rollup
+from tastecore.llm import langid, license_scan, ngram_join, packing, secret_scan, token_rollup, wavelet
 from tastecore.plans.staging import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,19 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "lead")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_token_wavelet")
+def token_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-wavelet")
+    wavelet.write_shards(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return wavelet.documents(wavelet.read_shards(spark, path))
+
+
 @query("op4_license_scan")
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
@@ -52,6 +65,11 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op8_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
 TOKEN_COUNTS_SQL = r"""
 WITH kept AS (
   SELECT source, lang, coalesce(text, '') AS text FROM documents
