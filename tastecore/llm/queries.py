@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastecore.llm import langid, license_scan, ngram_join, packing, secret_scan, token_rollup, wavelet
+from tastecore.llm import langid, license_scan, mixing, ngram_join, packing, secret_scan, token_rollup, wavelet
 from tastecore.plans.staging import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,22 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+#: Parts of the mix by the labels' quality and toxicity, and its size against the corpus.
+MIX_WEIGHTS = {"q1t0": 0.90, "q0t0": 0.08, "q1t1": 0.015, "q0t1": 0.005}
+MIX_SHARE = 0.9
+
+
+def mix_domain() -> Column:
+    return F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("t"), F.col("toxic").cast("string"))
+
+
+@query("op7_soft_mixing")
+def soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    classifier = mixing.learn_domains(docs, table(spark, sf_dir, "labels"), mix_domain())
+    return mixing.document_rates(docs, classifier, MIX_WEIGHTS, MIX_SHARE)
+
+
 @query("op8_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
