@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastecore.llm import langid, secret_scan
+from tastecore.llm import langid, mixing, ngram_join, packing, secret_scan
+from tastecore.llm.queries import MIX_SHARE, MIX_WEIGHTS, mix_domain, tokenizer_file
 from tastecore.plans.staging import stage
 
 MIN_LANGUAGE_SCORE = 0.25
@@ -17,16 +18,37 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, langid.learn(langid.training_rows(docs)), MIN_LANGUAGE_SCORE)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of similar documents join: five words, 0.8 or more."""
+    return ngram_join.one_of_each(docs, width=5, percent=80)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced."""
     return secret_scan.redact(docs)
 
 
+def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the rates say that bring the expected domain tokens to the target weights."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    classifier = mixing.learn_domains(docs, labels, mix_domain())
+    return mixing.mixed(docs, classifier, MIX_WEIGHTS, MIX_SHARE)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequences and offsets."""
+    return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", language),
+    ("ngram_jaccard", near_duplicates),
     ("secret_scan", secrets),
+    ("soft_mixing", mixing_weights),
+    ("best_fit_packing", packed),
 ]
+#: SQL can state neither the learned filters nor the tokenizer; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -67,7 +67,7 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Parts of the mix by the labels' quality and toxicity, and its size against the corpus.
 MIX_WEIGHTS = {"q1t0": 0.90, "q0t0": 0.08, "q1t1": 0.015, "q0t1": 0.005}
-MIX_SHARE = 0.9
+MIX_SHARE = 1.0
 
 
 def mix_domain() -> Column:
