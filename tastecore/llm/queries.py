@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastecore.llm import langid, license_scan, mixing, ngram_join, packing, secret_scan, token_rollup, wavelet
+from tastecore.llm import langid, license_scan, mixing, mtree, ngram_join, nn_descent, packing, secret_scan, token_rollup, wavelet
 from tastecore.plans.staging import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,26 @@ def token_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.documents(wavelet.read_shards(spark, path))
 
 
+TOP_PRODUCTS_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+), q AS (SELECT * FROM v WHERE vec_id % 50 = 0), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         list_sum([p[1] * p[2] FOR p IN list_zip(q.e, v.e)])::BIGINT AS score
+  FROM q JOIN v ON q.vec_id <> v.vec_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
+"""
+
+
+@query("op3_mtree_topk", TOP_PRODUCTS_SQL)
+def mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return mtree.top_products(rows, rows.filter("vec_id % 50 = 0"), k=5)
+
+
 @query("op4_license_scan")
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
@@ -86,6 +106,12 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+@query("op9_nn_descent")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nn_descent.nearest_rows(rows, rows.filter("vec_id % 100 = 0"), k=10)
+
+
 TOKEN_COUNTS_SQL = r"""
 WITH kept AS (
   SELECT source, lang, coalesce(text, '') AS text FROM documents
