@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tastecore.functions import at_most
 from tastecore.plans.ordering import rank_within
 
-# Up to this many columns one wide aggregate is compiled, beyond it the table is unpivoted.
-WIDE_AGGREGATE = 64
+# Columns aggregated together: keeps the compiled aggregate small; the result does not depend on it.
+COLUMNS_AT_ONCE = 50
 
 
 def count_by(df: DataFrame, col: str) -> DataFrame:
@@ -26,6 +26,15 @@ def song_popularity(triplets: DataFrame) -> DataFrame:
     return triplets.groupBy("song_id").agg(F.sum("playcount").alias("playcount"))
 
 
+def matched_popularity(triplets: DataFrame, mismatches: DataFrame) -> DataFrame:
+    """Popularity of the songs that are not mismatched, summed per song before the anti join.
+
+    A song goes as a whole, so this equals summing what the anti join leaves; but rows of a hot
+    song are combined map-side, and the join sees one row per song.
+    """
+    return song_popularity(triplets).join(mismatches.select("song_id"), "song_id", "left_anti")
+
+
 def user_activity(triplets: DataFrame) -> DataFrame:
     return triplets.groupBy("user_id").agg(F.count("song_id").alias("songcount"))
 
@@ -64,6 +73,14 @@ def ordered_lists(df: DataFrame, by: str, item: str, order: Sequence[Column | st
     return top_rows(df, by, order, k).groupBy(by).agg(pairs.getField(item).alias("items"))
 
 
+def short_lists(df: DataFrame, by: str, order: Sequence[str], item: str) -> DataFrame:
+    """All items of every group as one array, in order. For groups that the data keep short (the lines of an
+    order); where a group can grow with the table use `ordered_rows`.
+    """
+    pairs = F.sort_array(F.collect_list(F.struct(*order, item)))
+    return df.groupBy(by).agg(pairs.getField(item).alias("items"))
+
+
 def collect_distinct(df: DataFrame, col: str) -> DataFrame:
     """The distinct values as rows; one row holding all of them would not scale."""
     return df.select(col).distinct()
@@ -117,10 +134,12 @@ def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.max(c).alias("max"),
         ]
 
-    if len(cols) > WIDE_AGGREGATE:
-        return numbers.unpivot([], list(cols), "column", "value").groupBy("column").agg(*stats("value"))
-    row = numbers.agg(*[F.struct(*stats(c)).alias(c) for c in cols])
-    return row.unpivot([], list(cols), "column", "s").select("column", "s.*")
+    def described(part: Sequence[str]) -> DataFrame:
+        row = numbers.agg(*[F.struct(*stats(c)).alias(c) for c in part])
+        return row.unpivot([], list(part), "column", "s").select("column", "s.*")
+
+    parts = [cols[i : i + COLUMNS_AT_ONCE] for i in range(0, len(cols), COLUMNS_AT_ONCE)]
+    return reduce(DataFrame.unionByName, map(described, parts))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastecore.operators.aggregates import song_popularity, user_activity
+from tastecore.operators.aggregates import matched_popularity, song_popularity, user_activity
 from tastecore.operators.quantiles import quantile_value
 from tastecore.plans.staging import stage
 
@@ -31,20 +31,22 @@ def remove_mismatches(
     return triplets.join(bad, "song_id", "left_anti")
 
 
-def active_triplets(triplets: DataFrame, q: float = 0.25) -> DataFrame:
-    """Drop songs with few plays and users with few songs.
+def active_triplets(triplets: DataFrame, q: float = 0.25, mismatches: DataFrame | None = None) -> DataFrame:
+    """Drop songs with few plays and users with few songs; triplets of `mismatches` first, if given.
 
-    Both thresholds are the q-quantile of the unfiltered triplets: one round.
+    Both thresholds are the q-quantile of the triplets without mismatches: one round.
     Hot songs and users are above the thresholds by definition, so the two
-    lists hold rare keys only. Per-song and per-user totals are staged because
-    threshold and list both need them; the triplets are read three times, so
-    pass a stored table or a filter over one.
+    lists hold rare keys only. Per-song sums are taken before the mismatches go, so a hot song
+    is combined map-side. Per-song and per-user totals are staged because threshold and list
+    both need them; the triplets are read three times, so pass a stored table or a filter over one.
     """
-    songs = stage(song_popularity(triplets), "songs")
-    users = stage(user_activity(triplets), "users")
+    songs = song_popularity(triplets) if mismatches is None else matched_popularity(triplets, mismatches)
+    rows = triplets if mismatches is None else remove_mismatches(triplets, mismatches)
+    songs = stage(songs, "songs")
+    users = stage(user_activity(rows), "users")
     quiet_songs = songs.filter(F.col("playcount") < quantile_value(songs, "playcount", q))
     quiet_users = users.filter(F.col("songcount") < quantile_value(users, "songcount", q))
-    return triplets.join(quiet_songs.select("song_id"), "song_id", "left_anti").join(
+    return rows.join(quiet_songs.select("song_id"), "song_id", "left_anti").join(
         quiet_users.select("user_id"), "user_id", "left_anti"
     )
 

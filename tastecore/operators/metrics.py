@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tastecore.functions import safe_ratio
 from tastecore.operators.relational import drop_nan
 from tastecore.plans.ordering import running_totals
+from tastecore.plans.staging import stage
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -58,13 +59,10 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, from the highest one down."""
-    seen = running_totals(
-        _score_counts(df, label, score),
-        [F.desc("threshold")],
-        {"pos_seen": F.col("pos"), "neg_seen": F.col("neg")},
-    )
-    positives = seen.agg(F.max("pos_seen")).scalar()
-    negatives = seen.agg(F.max("neg_seen")).scalar()
+    counts = stage(_score_counts(df, label, score), "counts")
+    seen = running_totals(counts, [F.desc("threshold")], {"pos_seen": F.col("pos"), "neg_seen": F.col("neg")})
+    positives = counts.agg(F.sum("pos")).scalar()
+    negatives = counts.agg(F.sum("neg")).scalar()
     return seen.select(
         "threshold",
         safe_ratio("neg_seen", negatives).alias("fpr"),

@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 from tastecore.functions import project_items
 
 
-def train_als(training: DataFrame, seed: int = 1, blocks: int | None = None, **params) -> ALSModel:
+def train_als(training: DataFrame, seed: int = 1, blocks: int = 10, **params) -> ALSModel:
     """Explicit ratings. Train on rows read from a (staged) table, so that a lost task rereads the same rows.
 
-    Users and items are cut into `blocks` each, by default one per core of the
-    cluster; ratings are grouped by pair of blocks, hence the upper bound.
+    Users and items are cut into `blocks` each. The model depends on their number, so it
+    is an argument, not taken from the cluster; raise it with the data.
     """
-    cores = training.sparkSession.sparkContext.defaultParallelism
-    blocks = min(1000, max(10, cores)) if blocks is None else blocks
     als = ALS(userCol="user", itemCol="item", ratingCol="rating", seed=seed, **params)
     return als.setNumBlocks(blocks).fit(training)
 

@@ -16,8 +16,8 @@ from tastecore.operators.classify import one_vs_rest
 
 
 def _linear(rows: int, features: str, label: str, c: float, **params) -> LinearSVC:
-    """Spark weighs the mean loss, so C per row becomes regParam = 1 / (C * rows)."""
-    return LinearSVC(featuresCol=features, labelCol=label, regParam=1.0 / (c * rows), **params)
+    """Spark weighs the mean loss, so C per row becomes regParam = 1 / (C * rows), on coefficients of the raw columns."""
+    return LinearSVC(featuresCol=features, labelCol=label, regParam=1.0 / (c * rows), standardization=False, **params)
 
 
 def linear_svm(
@@ -44,27 +44,19 @@ def fourier_weights(dims: int, gamma: float, n_features: int, seed: int) -> tupl
     )
 
 
-def fourier_columns(cols: Sequence[str], gamma: float, n_features: int, seed: int = 0) -> list[Column]:
-    """The feature map sqrt(2/D) cos(w.x + b) as plain column arithmetic."""
-    directions, phases = fourier_weights(len(cols), gamma, n_features, seed)
-    size = F.lit(math.sqrt(2.0 / n_features))
-    out = []
-    for i, (w, b) in enumerate(zip(directions, phases)):
-        angle = F.lit(float(b))
-        for c, weight in zip(cols, w):
-            angle = angle + F.col(c) * F.lit(float(weight))
-        out.append((size * F.cos(angle)).alias(f"rff_{i}"))
-    return out
-
-
-def _fourier_sql(cols: Sequence[str], gamma: float, n_features: int, seed: int) -> str:
+def fourier_terms(cols: Sequence[str], gamma: float, n_features: int, seed: int = 0) -> list[str]:
+    """The feature map sqrt(2/D) cos(w.x + b) as SQL expressions named rff_0, rff_1, ..."""
     directions, phases = fourier_weights(len(cols), gamma, n_features, seed)
     size = math.sqrt(2.0 / n_features)
-    terms = [
+    return [
         f"{size!r}D * cos({float(b)!r}D + " + " + ".join(f"`{c}` * {float(x)!r}D" for c, x in zip(cols, w)) + f") AS rff_{i}"
         for i, (w, b) in enumerate(zip(directions, phases))
     ]
-    return f"SELECT *, {', '.join(terms)} FROM __THIS__"
+
+
+def fourier_columns(cols: Sequence[str], gamma: float, n_features: int, seed: int = 0) -> list[Column]:
+    """The same map as columns."""
+    return [F.expr(term) for term in fourier_terms(cols, gamma, n_features, seed)]
 
 
 def rbf_svm(
@@ -86,7 +78,7 @@ def rbf_svm(
     svc = _linear(df.count(), "rff", label, c, **params)
     return Pipeline(
         stages=[
-            SQLTransformer(statement=_fourier_sql(cols, gamma, n_features, seed)),
+            SQLTransformer(statement=f"SELECT *, {', '.join(fourier_terms(cols, gamma, n_features, seed))} FROM __THIS__"),
             VectorAssembler(inputCols=names, outputCol="rff"),
             one_vs_rest(svc, "rff", label),
         ]

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tastecore.functions import binary_label
 from tastecore.operators.aggregates import count_by
 from tastecore.operators.classify import one_vs_rest
-from tastecore.operators.features import index_strings, index_triplets
-from tastecore.operators.joins import active_triplets, remove_mismatches
+from tastecore.operators.features import index_strings, index_triplets, prepare
+from tastecore.operators.joins import active_triplets, attach_label
 from tastecore.operators.metrics import binary_metrics, multiclass_metrics, rmse, roc_auc
 from tastecore.operators.ranking import ranking_metrics
 from tastecore.operators.recommend import predict_ratings, recommend_rows, train_als
@@ -28,6 +28,14 @@ Algorithms = Sequence[tuple[str, Estimator, CrossValidator | None]]
 FOLD = "fold"
 
 
+def genre_dataset(features: DataFrame, genres: DataFrame, prefix: str, genre: str = "genre") -> DataFrame:
+    """Feature rows that have a genre, with the columns named by `prefix` scaled as the vector `scfeatures`.
+
+    `features` (track_id and feature columns) comes from `sources.read_features`, `genres` has track_id and genre.
+    """
+    return prepare(attach_label(features, genres, "track_id", genre), prefix)
+
+
 def genre_report(genres: DataFrame, col: str = "genre") -> DataFrame:
     """Rows per genre, largest first."""
     return count_by(genres, col)
@@ -127,8 +135,7 @@ def recommendation_experiment(
     stored table of triplets: it is read by several steps, each time through a
     filter by the mismatch list. The indexed table is staged.
     """
-    matched = remove_mismatches(triplets, mismatches)
-    dataset = stage(index_triplets(active_triplets(matched, q)), "dataset")
+    dataset = stage(index_triplets(active_triplets(triplets, q, mismatches)), "dataset")
     training, test = user_holdout(dataset, fraction)
     model = train_als(training, **als)
     chosen = stage(top_users(test, users), "users")

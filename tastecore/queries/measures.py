@@ -20,6 +20,7 @@ from tastecore.queries.tables import (
     active_split,
     hash_sql,
     matched,
+    popularity,
     table,
 )
 from tastecore.queries.tabular import CAP, _NAN_SQL, _with_nan
@@ -330,7 +331,7 @@ b AS (SELECT COUNT(*)::DOUBLE AS n, MIN(playcount)::DOUBLE AS lo, MAX(playcount)
     + _kde_sql(512).format(keys="", on="ON TRUE"),
 )
 def density_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    songs = stage(aggregates.song_popularity(matched(spark, sf_dir)), "songs")
+    songs = stage(popularity(spark, sf_dir), "songs")
     curve = density.kde(songs, "playcount", points=512, bandwidth="nrd0")
     return curve.withColumns({"x": F.round("x", 6), "density": F.round("density", 9)})
 

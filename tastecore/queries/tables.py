@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastecore.functions import binary_label
+from tastecore.operators.aggregates import matched_popularity
 from tastecore.operators.joins import active_triplets, remove_mismatches
 from tastecore.operators.sampling import user_holdout
 from tastecore.plans.staging import stage
@@ -50,7 +51,12 @@ def matched(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame
 
 
 def active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return active_triplets(matched(spark, sf_dir, stored=True))
+    return active_triplets(triplets_table(spark, sf_dir), mismatches=mismatches(spark, sf_dir))
+
+
+def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays per song that is not mismatched."""
+    return matched_popularity(triplets(spark, sf_dir), mismatches(spark, sf_dir))
 
 
 def active_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -20,6 +20,7 @@ from tastecore.queries.tables import (
     active_split,
     matched,
     mismatches,
+    popularity,
     table,
     triplets,
     triplets_table,
@@ -68,7 +69,7 @@ def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{MATCHED_SQL} SELECT song_id, playcount FROM songs WHERE playcount < (SELECT quantile_disc(playcount, 0.25) FROM songs)",
 )
 def filter_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    songs = stage(aggregates.song_popularity(matched(spark, sf_dir)), "songs")
+    songs = stage(popularity(spark, sf_dir), "songs")
     return relational.filter_below_quantile(songs, "playcount", 0.25)
 
 
@@ -166,7 +167,7 @@ def genre_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("song_popularity", f"{MATCHED_SQL} SELECT * FROM songs")
 def song_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.song_popularity(matched(spark, sf_dir))
+    return popularity(spark, sf_dir)
 
 
 @query("user_activity", f"{MATCHED_SQL} SELECT * FROM users")
@@ -292,9 +293,8 @@ _QUANTILES = "SELECT '{t}' AS measure, {p}::DOUBLE AS prob, quantile_disc({c}, {
     ),
 )
 def exact_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = matched(spark, sf_dir, stored=True)
-    songs = quantiles.quantiles(aggregates.song_popularity(rows), "playcount")
-    users = quantiles.quantiles(aggregates.user_activity(rows), "songcount")
+    songs = quantiles.quantiles(stage(popularity(spark, sf_dir), "songs"), "playcount")
+    users = quantiles.quantiles(stage(aggregates.user_activity(matched(spark, sf_dir)), "users"), "songcount")
     return relational.union_all(
         [songs.withColumn("measure", F.lit("songs")), users.withColumn("measure", F.lit("users"))]
     ).select("measure", "prob", "value")
@@ -433,11 +433,23 @@ def array_project_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "array_build",
+    """SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey) AS items
+FROM lineitem GROUP BY 1""",
+)
+def array_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of an order: its lists are short by nature, so they are complete."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    lists = aggregates.short_lists(lines, "l_orderkey", ["l_linenumber"], "l_partkey")
+    return lists.select("l_orderkey", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+
+
+@query(
+    "top_song_lists",
     f"""{MATCHED_SQL}, best AS (SELECT user_id, song_id,
   row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC, song_id) AS place FROM matched)
 SELECT user_id, string_agg(CAST(song_id AS VARCHAR), ',' ORDER BY place) AS items FROM best WHERE place <= 10 GROUP BY 1""",
 )
-def array_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+def top_song_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.desc("playcount"), "song_id"]
     lists = aggregates.ordered_lists(matched(spark, sf_dir), "user_id", "song_id", order, 10)
     return lists.select("user_id", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))

@@ -1,4 +1,7 @@
-"""What lies in a folder: files, bytes per directory, lines per file."""
+"""What lies in a folder: non-empty files, bytes per directory, lines per file.
+
+Spark's file sources list neither empty files nor names starting with _ or a dot.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,9 @@ from pyspark.sql import functions as F
 
 
 def _below(path, root: str):
-    return F.substring_index(path, urlparse(root).path.rstrip("/") + "/", -1)
+    """What follows the root where it first occurs; it may occur again further down."""
+    prefix = urlparse(root).path.rstrip("/") + "/"
+    return F.substring(path, F.instr(path, prefix) + F.lit(len(prefix)), F.length(path))
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Run queries against their SQL: python tests/check_all.py [sf_dir] [name ...]
 
 CHECK_LARGE=1 plans as for large data: no broadcast by size, every partition
-kept, quantiles by brackets.
+kept.
 """
 
 import os
@@ -15,7 +15,6 @@ from oracle import connect, difference  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
-from tastecore.operators import quantiles  # noqa: E402
 
 LARGE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
@@ -35,7 +34,6 @@ if __name__ == "__main__":
     )
     spark.sparkContext.setLogLevel("ERROR")
     if os.environ.get("CHECK_LARGE"):
-        quantiles.FEW_VALUES = 20
         for key, value in LARGE.items():
             spark.conf.set(key, value)
     con, sqls, bad = connect(sf_dir), contract.oracle_sql(), 0

@@ -84,3 +84,33 @@ def test_pair_bins_equal_histograms(spark):
 def test_constant_column_has_one_bin(spark):
     rows = density.pair_bins(spark.range(5).withColumn("c", F.lit(3.0)), ["c"], 4).collect()
     assert [(r["x_bin"], r["count"]) for r in rows] == [(0, 5)]
+
+
+def test_play_counts_without_a_quartile_range(spark):
+    """Eighty ones and twenty other values: the bandwidth falls back to the standard deviation."""
+    values = np.array([1.0] * 80 + [float(v) for v in range(2, 22)])
+    x, y = _curve(density.kde(spark.createDataFrame([(v,) for v in values.tolist()], "v double"), "v", points=100, bandwidth="nrd0"))
+    _, want = _exact(values, 100, 0.9 * values.std(ddof=1) * len(values) ** -0.2)
+    assert y == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize("value,width", [(3.0, 3.0), (0.0, 1.0), (-2.0, 2.0)])
+def test_constant_column_under_nrd0(spark, value, width):
+    df = spark.createDataFrame([(value,)] * 5, "v double")
+    x, y = _curve(density.kde(df, "v", points=4, bandwidth="nrd0"))
+    assert list(x) == [value] * 4
+    assert y == pytest.approx(1 / (0.9 * width * 5**-0.2 * np.sqrt(2 * np.pi)))
+
+
+def test_undefined_curves_are_null(spark):
+    df = spark.createDataFrame([("one", 1.0), ("same", 2.0), ("same", 2.0), ("well", 0.0), ("well", 4.0)], "k string, v double")
+    rows = density.kde(df, "v", by="k", points=5).collect()
+    assert {r["k"] for r in rows if r["density"] is None} == {"one", "same"} and len(rows) == 15
+    assert all(r["density"] > 0 for r in rows if r["k"] == "well")
+    assert {r["density"] for r in density.kde(df, "v", points=3, bandwidth=0.0).collect()} == {None}
+
+
+def test_far_tails_stay_positive(spark):
+    df = spark.createDataFrame([(0.0,), (0.0,), (30.0,)], "v double")
+    _, y = _curve(density.kde(df, "v", points=31, bandwidth=1.0))
+    assert 0 < y[15] < 1e-40

@@ -92,7 +92,7 @@ def test_most_active_and_songs(spark):
 def test_describe_wide_equals_narrow(spark, monkeypatch):
     df = spark.createDataFrame([(1.0, 4), (2.0, None), (4.0, 6)], "a double, b int")
     narrow = {r["column"]: tuple(r) for r in aggregates.describe_columns(df, ["a", "b"]).collect()}
-    monkeypatch.setattr(aggregates, "WIDE_AGGREGATE", 0)
+    monkeypatch.setattr(aggregates, "COLUMNS_AT_ONCE", 1)
     wide = {r["column"]: tuple(r) for r in aggregates.describe_columns(df, ["a", "b"]).collect()}
     assert narrow == wide and narrow["b"][1:] == (2, 5.0, pytest.approx(math.sqrt(2)), 4.0, 6.0)
 
@@ -129,26 +129,63 @@ def test_bracketed_quantiles_are_exact(spark, monkeypatch, many_chunks, probs):
     want = [r["value"] for r in quantiles.quantiles(df, "v", probs).orderBy("prob").collect()]
     values = sorted(r["v"] for r in df.dropna().collect())
     assert want == [values[max(0, math.ceil(p * len(values)) - 1)] for p in probs]
-    monkeypatch.setattr(quantiles, "FEW_VALUES", 10)
-    assert [r["value"] for r in quantiles.quantiles(df, "v", probs).orderBy("prob").collect()] == want
-    _, brackets = quantiles._brackets(df, ["v"], probs)
-    assert quantiles._counted(df, ["v"], brackets).count() < 1000
+    _, brackets, _ = quantiles._brackets(df, ["v"], probs)
+    assert quantiles._counted(df, ["v"], brackets).count() < 2500
 
 
 def test_missed_bracket_falls_back(spark, monkeypatch):
     df = _skewed(spark)
     want = quantiles.summary_quartiles(df, ["v"]).head()
-    sizes, _ = quantiles._brackets(df, ["v"], [0.5])
-    monkeypatch.setattr(quantiles, "_brackets", lambda *_: (sizes, {"v": [(0.0, 0.0), (99.0, 99.5)]}))
+    sizes, _, facts = quantiles._brackets(df, ["v"], [0.5])
+    monkeypatch.setattr(quantiles, "_brackets", lambda *_: (sizes, {"v": [(0.0, 0.0), (99.0, 99.5)]}, facts))
     assert quantiles.summary_quartiles(df, ["v"]).head() == want
 
 
-def test_bracketed_quartiles_interpolate(spark, monkeypatch):
+def test_bracketed_quartiles_interpolate(spark):
     df = _skewed(spark)
     want = quantiles.summary_quartiles(df, ["v"]).head()
-    monkeypatch.setattr(quantiles, "FEW_VALUES", 10)
-    assert quantiles.summary_quartiles(df, ["v"]).head() == want
     assert df.agg(F.percentile("v", 0.75)).head()[0] == pytest.approx(want["q3"])
+    assert (want["min"], want["max"]) == tuple(df.agg(F.min("v"), F.max("v")).head())
+    assert want["mean"] == pytest.approx(df.agg(F.avg("v")).head()[0])
+
+
+def test_quartiles_are_the_same_whatever_the_partitions(spark):
+    df = _skewed(spark)
+    assert len({tuple(quantiles.summary_quartiles(df.repartition(n), ["v"]).drop("mean").head()) for n in (1, 7, 40)}) == 1
+
+
+def test_last_task_reads_as_many_sketches_for_any_input(spark, many_chunks):
+    for parts in (100, 300):
+        plan = quantiles._sketches(_skewed(spark).repartition(parts), ["v"], 200)
+        inner = plan.select(F.kll_sketch_get_n_double("v.sketch")).head()[0]
+        groups = _skewed(spark).repartition(parts).select((F.spark_partition_id() % quantiles.MERGED_GROUPS).alias("g")).distinct().count()
+        assert inner == _skewed(spark).dropna().count() and groups <= quantiles.MERGED_GROUPS
+
+
+def test_approximate_quantile(spark):
+    found = quantiles.quantiles(_skewed(spark), "v", [0.5], error=0.01).head()["value"]
+    values = sorted(r["v"] for r in _skewed(spark).dropna().collect())
+    low, high = (values[int(len(values) * p)] for p in (0.48, 0.52))
+    assert low <= found <= high
+
+
+def test_describe_an_empty_table(spark):
+    for width in (3, 120):
+        empty = spark.range(0).select(*[F.col("id").alias(f"c{i}") for i in range(width)])
+        rows = aggregates.describe_columns(empty, empty.columns).collect()
+        assert len(rows) == width and all(tuple(r)[1:] == (0, None, None, None, None) for r in rows)
+
+
+def test_matched_popularity_equals_summing_what_is_left(spark):
+    rows = spark.createDataFrame([("a", 1, 5), ("b", 1, 2), ("a", 2, 7), ("a", None, 3)], "user_id string, song_id int, playcount int")
+    bad = spark.createDataFrame([(2,), (2,), (None,)], "song_id int")
+    left = {tuple(r) for r in aggregates.matched_popularity(rows, bad).collect()}
+    assert left == {tuple(r) for r in aggregates.song_popularity(joins.remove_mismatches(rows, bad)).collect()}
+    for broadcast in ("-1",):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        plan = aggregates.matched_popularity(rows, bad)._jdf.queryExecution().optimizedPlan().toString()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.index("Join") < plan.index("Aggregate")  # the aggregate lies below the join
 
 
 def test_quantiles_of_long_values_keep_every_digit(spark):
