@@ -4,10 +4,10 @@ A classifier learned from a labelled table gives every document posteriors over
 a document is taken, 0 or more) are found so that the expected tokens of each domain,
 sum(rate * tokens * posterior), match the targets: least squares by projected gradient, starting from
 one rate for all. With t tokens, the step is taken in the metric of the tokens, rate -= p . g, and residuals
-are measured in the metric M^-1, M = sum(t p p') / sum(t), in which the steepest step has length 1;
-where targets can be met, the solution meets them in any metric. One step needs one sum per domain over
-all documents. A document's rate follows from its posteriors and the steps' g alone, so the steps are
-kept, not the rates.
+are measured in the metric M^-1, M = sum(t p p') / sum(t) over the documents whose rate is not 0, in which
+the steepest step has length 1 (halved after one that was too long); where targets can be met, the
+solution meets them in any metric. One step needs K + K (K + 1) / 2 sums over all documents for K domains. A
+document's rate follows from its posteriors and the steps' g alone, so the steps are kept, not the rates.
 
 Edge cases: a null text is an empty one, with 0 tokens; it gets a rate but adds nothing. Labels that are null
 or name no document teach nothing. Without any labelled text, or without tokens, every rate is 1. A
@@ -71,7 +71,7 @@ def learn_domains(
         HashingTF(inputCol=WORDS, outputCol=COUNTS, numFeatures=features),
         Normalizer(inputCol=COUNTS, outputCol=SHARES, p=1.0),
         LogisticRegression(
-            featuresCol=SHARES, labelCol="label", family="multinomial", maxIter=50, regParam=1e-4,
+            featuresCol=SHARES, labelCol="label", family="multinomial", maxIter=30, regParam=1e-4,
             rawPredictionCol=RAW, probabilityCol=PROBABILITY, predictionCol=BEST,
         ),
     ]
@@ -107,25 +107,28 @@ class Rates:
         return F.aggregate(steps, F.lit(self.start), step)
 
 
-def solve(scored: DataFrame, targets: np.ndarray, tolerance: float = 1e-6, most: int = 100) -> Rates:
-    """Rates for which the tokens of every domain come to `targets` (in tokens)."""
+def solve(scored: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, most: int = 100) -> Rates:
+    """Rates for which the tokens of every domain come to `targets` (in tokens), within `tolerance` of all tokens."""
     size = len(targets)
     t, p = F.col(TOKENS), [F.get(POSTERIORS, F.lit(k)) for k in range(size)]
-    sums = [F.sum(t).alias("t"), *[F.sum(t * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(size) for j in range(i, size)]]
-    row = scored.agg(*sums).head()
-    total = row["t"] or 0.0
+    total = scored.agg(F.sum(t)).head()[0] or 0.0
     if not size or not total:
         return Rates(1.0, (), ())
-    gram = np.array([[row[f"m{min(i, j)}_{max(i, j)}"] for j in range(size)] for i in range(size)]) / total
-    metric = np.linalg.inv(gram + 1e-9 * np.eye(size))
-    start, steps = float(targets.sum() / total), []
+    moving = F.when(F.col("rate") > 0, t).otherwise(F.lit(0.0))
+    sums = [F.sum(F.col("rate") * t * p[k]).alias(f"e{k}") for k in range(size)]
+    sums += [F.sum(moving * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(size) for j in range(i, size)]
+    start, steps, before = float(targets.sum() / total), [], np.inf
     while True:
         rates = Rates(start, tuple(steps), (0.0,) * size)
-        row = scored.agg(*[F.sum(rates.column() * t * p[k]).alias(f"e{k}") for k in range(size)]).head()
-        residual = np.array([row[f"e{k}"] for k in range(size)]) / total - targets / total
-        if np.abs(residual).max() <= tolerance or len(steps) == most:
+        row = scored.withColumn("rate", rates.column()).agg(*sums).head()
+        residual = (np.array([row[f"e{k}"] for k in range(size)]) - targets) / total
+        error = float(np.abs(residual).max())
+        if error <= tolerance or len(steps) == most:
             return Rates(start, tuple(steps), tuple(float(x) for x in residual))
-        steps.append(tuple(float(x) for x in metric @ residual))
+        gram = np.array([[row[f"m{min(i, j)}_{max(i, j)}"] for j in range(size)] for i in range(size)]) / total
+        length = 1.0 if error < before else 0.5  # rows that come back above 0 can make a step too long
+        steps.append(tuple(float(x) for x in length * np.linalg.solve(gram + 1e-9 * np.eye(size), residual)))
+        before = error
 
 
 def _target_tokens(weights: Mapping[str, float], domains: tuple[str, ...], budget: float) -> np.ndarray:

@@ -82,12 +82,14 @@ def test_projected_steps_equal_direct_loop(spark):
     scored = spark.createDataFrame([(float(a), [float(x) for x in b]) for a, b in zip(t, p)], f"{mixing.TOKENS} double, {mixing.POSTERIORS} array<double>")
     targets = np.array([0.9, 0.1, 0.0]) * t.sum()
     rates = mixing.solve(scored, targets, most=25)
-    r = np.full(200, targets.sum() / t.sum())
-    metric = np.linalg.inv((p * t[:, None]).T @ p / t.sum() + 1e-9 * np.eye(3))
+    r, before = np.full(200, targets.sum() / t.sum()), np.inf
     for _ in rates.steps:
-        r = np.maximum(0, r - p @ (metric @ (((r * t) @ p - targets) / t.sum())))
+        residual = ((r * t) @ p - targets) / t.sum()
+        metric = (p * (t * (r > 0))[:, None]).T @ p / t.sum() + 1e-9 * np.eye(3)
+        length, before = (1.0 if np.abs(residual).max() < before else 0.5), np.abs(residual).max()
+        r = np.maximum(0, r - p @ (length * np.linalg.solve(metric, residual)))
     found = np.array([x.r for x in scored.select(rates.column().alias("r")).collect()])
-    assert np.allclose(sorted(found), sorted(r), atol=1e-9) and (r == 0).any()
+    assert np.allclose(sorted(found), sorted(r), atol=1e-9) and (r == 0).any() and np.abs(rates.residual).max() < 0.02
 
 
 def test_mixing_edges(spark):
