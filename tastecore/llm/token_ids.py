@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -21,9 +22,13 @@ from itertools import chain
 import numpy as np
 import regex
 
-REMEMBERED = 1_000_000  # distinct pieces
+REMEMBERED = 1_500_000  # distinct pre-tokens, about 200 bytes each
 # Characters that Python's split() takes for white space and the tokenizer does not.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
+WIDE_SPACE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\t\r\v\f"
+STOPS = (". ", ", ", ".\n")
+BEFORE_STOP = re.compile(r"[\W_][.,]")
+CUT = "\x01"
 # The pre-token patterns of the two vocabularies.
 DROPPING = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 BYTE_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -48,16 +53,24 @@ class Encoder:
         self.starts = np.zeros(1024, np.int64)
         self.lengths = np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.uint32)
-        self.used = 0
+        self.used = self.count = 0
 
     def _cut(self, text: str) -> list[str] | None:
         """Pieces that no pre-token crosses; None if that can't be seen cheaply."""
         if any(c in text for c in ODD_SPACE):
             return None
+        plain = "İ" not in text and not BEFORE_STOP.search(text)  # a full stop or comma before white space is then a pre-token
         if self.drops_space:
+            if plain:
+                for stop in STOPS:
+                    text = text.replace(stop, " " + stop)
             return text.split()
-        if "  " in text or text.endswith(" ") or "\n " in text or not text.isascii() and any(c in text for c in "\x85\xa0 　"):
+        if "  " in text or "\n " in text or text[-1:].isspace() or not text.isascii() and any(c in text for c in WIDE_SPACE):
             return None
+        if plain and "\n\n" not in text and CUT not in text:
+            for stop in STOPS:
+                text = text.replace(stop, CUT + stop[0] + CUT + stop[1:])
+            return [p for p in text.replace(" ", CUT + " ").split(CUT) if p]
         first, *rest = text.split(" ")
         return [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
 
@@ -67,36 +80,45 @@ class Encoder:
 
     def _parts(self, piece: str) -> list[str]:
         """The pre-tokens of a piece; the piece itself where normalising might join or split them."""
-        if piece.isalpha() and piece.isascii() and not self.drops_space:
-            return [piece]
+        end = piece[-1]
+        word = piece[:-1] if end in ".," else piece
+        if (word if self.drops_space else word.removeprefix(" ")).isalpha() and len(word[-1].lower()) == 1:
+            parts = [word.lower() if self.drops_space and word.isascii() else word]
+            return parts if word is piece else [*parts, end]
         if "<|" in piece and any(s in piece for s in self.special):
             return [piece]
-        if self.drops_space and not piece.isascii():
-            if not unicodedata.is_normalized("NFC", piece) or len(piece.lower()) != len(piece):
-                return [piece]
-        return self.pattern.findall(piece.lower() if self.drops_space and piece.isascii() else piece)
-
-    def _learn(self, pieces: Sequence[str]) -> None:
-        parts = [self._parts(p) for p in pieces]
-        single = list(dict.fromkeys(x for p in parts for x in p if x not in self.known))
-        fresh = dict(zip(single, self._encoded(single)))
-        get = fresh.get
-        for piece, own in zip(pieces, parts):
-            if piece not in fresh:
-                ids: list[int] = []
-                for x in own:
-                    ids += get(x) or self._of(x)
-                fresh[piece] = ids
-        self._remember(fresh)
-
-    def _of(self, piece: str) -> list[int]:
-        at = self.known.get(piece)
-        return [] if at is None else self.ids[self.starts[at] : self.starts[at] + self.lengths[at]].tolist()
+        if not self.drops_space or piece.isascii():
+            return self.pattern.findall(piece.lower() if self.drops_space else piece)
+        if not unicodedata.is_normalized("NFC", piece) or len(piece.lower()) != len(piece):
+            return [piece]
+        return self.pattern.findall(piece)
+
+    def _places(self, pieces: Sequence[str]) -> list[int]:
+        """Where the ids of all pre-tokens of the pieces are remembered; those not known are learned."""
+        get = self.known.get
+        found: list = list(map(get, pieces))
+        if None not in found:
+            return found
+        split: list = []
+        again: dict[str, str] = {}  # other spellings of one pre-token
+        for piece, at in zip(pieces, found):
+            if at is not None:
+                split.append(at)
+            else:
+                parts = self._parts(piece)
+                split += [part if (at := get(part)) is None else at for part in parts]
+                if len(parts) == 1 and parts[0] != piece:
+                    again[piece] = parts[0]
+        unknown = list(dict.fromkeys(x for x in split if type(x) is str))
+        if unknown:
+            self._remember(dict(zip(unknown, self._encoded(unknown))))
+        self.known.update((piece, get(part)) for piece, part in again.items())
+        return [get(x) if type(x) is str else x for x in split]
 
     def _remember(self, fresh: dict[str, list[int]]) -> None:
         sizes = np.fromiter(map(len, fresh.values()), np.int64, len(fresh))
         total = int(sizes.sum())
-        first, end = len(self.known), len(self.known) + len(fresh)
+        first, end = self.count, self.count + len(fresh)
         for name, need in (("starts", end), ("lengths", end), ("ids", self.used + total)):
             held = getattr(self, name)
             if need > len(held):
@@ -105,6 +127,7 @@ class Encoder:
         self.starts[first:end] = self.used + np.cumsum(sizes) - sizes
         self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(fresh.values()), np.uint32, total)
         self.known.update(zip(fresh, range(first, end)))
+        self.count = end
         self.used += total
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
@@ -116,11 +139,7 @@ class Encoder:
                 continue
             if len(self.known) > REMEMBERED:
                 self._forget()
-            found = list(map(self.known.get, pieces))
-            if None in found:
-                self._learn(list(dict.fromkeys(p for p, at in zip(pieces, found) if at is None)))
-                found = list(map(self.known.__getitem__, pieces))
-            at = np.array(found, np.int64)
+            at = np.array(self._places(pieces), np.int64)
             sizes = self.lengths[at]
             ends = np.cumsum(sizes)
             places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + sizes, sizes)
