@@ -136,6 +136,13 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(a.astype(object) @ b.astype(object).T, limit.min, limit.max).astype(np.int64)
 
 
+def _last_kept(score: np.ndarray, keep: int) -> np.ndarray:
+    """The `keep`-th largest score of each row; minus infinity where there are fewer."""
+    if score.shape[1] < keep:
+        return np.full(len(score), -np.inf)
+    return np.partition(score, score.shape[1] - keep, axis=1)[:, score.shape[1] - keep].astype(float)
+
+
 def _score(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[pa.RecordBatch]:
     """Per page and block of queries: the `keep` best entries of each query."""
     for rows in slices(batches, 1):
@@ -151,13 +158,14 @@ def _score(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[pa.RecordBa
         from_entry = int(np.searchsorted(apart, reach * (1 - 1e-12))) if np.isfinite(reach) else 0
         nodes, vectors = nodes[from_entry:], vectors[from_entry:]
         score = products(q, vectors)
-        best = np.lexsort((np.broadcast_to(nodes, score.shape), -score), axis=1)[:, :keep]
-        take = np.take_along_axis(score, best, 1)
-        good = take >= beat[:, None]
-        who, place = np.nonzero(good)
+        who, place = np.nonzero(score >= np.maximum(beat, _last_kept(score, keep))[:, None])
+        order = np.lexsort((nodes[place], -score[who, place], who))
+        who, place = who[order], place[order]
+        first = np.arange(len(who)) - np.searchsorted(who, who) < keep  # equal scores: the smaller ids
+        who, place = who[first], place[first]
         ids = np.array([a["query_id"] for a in asked], np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[who]), pa.array(nodes[best[who, place]]), pa.array(take[who, place])], names=["query_id", "node", "score"]
+            [pa.array(ids[who]), pa.array(nodes[place]), pa.array(score[who, place])], names=["query_id", "node", "score"]
         )
 
 
