@@ -19,11 +19,18 @@ from tastecore.queries.tables import (
     active,
     embedded,
     embedded_binary,
+    hash_sql,
     mismatches,
     table,
     triplets_table,
 )
 
+# Classes of the test rows, counted as the metrics count them: what a model must not change.
+SPLIT = hash_sql(["vec_id"], "split")
+TEST_SIZES = f"""SELECT count(*) FILTER (label = 3) AS positives, count(*) FILTER (label <> 3) AS negatives
+  FROM embeddings WHERE {SPLIT} >= 0.7::DOUBLE"""
+DIMS = 64
+
 # --- classifiers on the labelled vectors -------------------------------------------
 
 
@@ -32,82 +39,123 @@ def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage(training, "training", spread=["vec_id"]), test
 
 
-def _binary(spark: SparkSession, sf_dir: str, estimator: Estimator) -> DataFrame:
+def _scored(spark: SparkSession, sf_dir: str, estimator: Estimator) -> DataFrame:
     training, test = _parts(embedded_binary(spark, sf_dir))
     score = vector_to_array("rawPrediction").getItem(1).alias("score")
-    scored = stage(estimator.fit(training).transform(test).select("label", "prediction", score), "scored")
-    return metrics.binary_metrics(scored).withColumn("auc", metrics.roc_auc(scored).scalar())
+    return stage(estimator.fit(training).transform(test).select("label", "prediction", score), "scored")
+
+
+def _binary(scored: DataFrame) -> DataFrame:
+    """Test rows per class, from the four confusion counts, and whether the area under the ROC curve is a share."""
+    found = metrics.binary_metrics(scored).withColumn("auc", metrics.roc_auc(scored).scalar())
+    return found.select(
+        (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"),
+        F.col("auc").between(0.0, 1.0).alias("auc_is_a_share"),
+    )
+
+
+def _moments(model, training: DataFrame, cls: int) -> DataFrame:
+    """(component, moment): mean of probability x component over the training rows, component -1 being 1.
 
+    At the optimum of an unpenalised logistic fit these equal the means of label x component.
+    """
+    p = vector_to_array("probability").getItem(cls)
+    x = vector_to_array("scfeatures")
+    rows = model.transform(training).select(p.alias("p"), x.alias("x"))
+    means = rows.agg(F.avg("p").alias("m"), *[F.avg(F.col("p") * F.col("x")[j]).alias(f"m{j}") for j in range(DIMS)])
+    places = [F.struct(F.lit(j).alias("component"), F.round(f"m{j}" if j >= 0 else "m", 5).alias("moment")) for j in range(-1, DIMS)]
+    return means.select(F.explode(F.array(*places)).alias("r")).select("r.*")
 
-@query("logistic_binary")
+
+MOMENTS_SQL = f"""WITH t AS (SELECT *, (label = 3)::INTEGER::DOUBLE AS y FROM embeddings WHERE {SPLIT} < 0.7::DOUBLE)
+SELECT -1 AS component, round(avg(y), 5) + 0.0 AS moment FROM t
+UNION ALL SELECT j::INTEGER, round(avg(y * embedding[j + 1]::DOUBLE), 5) + 0.0 FROM t, range({DIMS}) r(j) GROUP BY j"""
+
+
+@query("logistic_binary", MOMENTS_SQL)
 def logistic_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _binary(spark, sf_dir, classify.classifier("logistic", maxIter=20))
+    training, _ = _parts(embedded_binary(spark, sf_dir))
+    model = classify.classifier("logistic", tol=1e-8).fit(training)
+    return _moments(model, training, 1).withColumn("moment", F.col("moment") + F.lit(0.0))
 
 
-@query("random_forest")
+@query("random_forest", f"SELECT *, true AS auc_is_a_share FROM ({TEST_SIZES})")
 def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _binary(spark, sf_dir, classify.classifier("forest", seed=1))
+    return _binary(_scored(spark, sf_dir, classify.classifier("forest", seed=1)))
 
 
-@query("decision_tree")
+@query(
+    "decision_tree",
+    f"""WITH t AS (SELECT *, (label = 3)::INTEGER::DOUBLE AS y FROM embeddings WHERE {SPLIT} < 0.7::DOUBLE)
+SELECT positives, negatives, (SELECT round(avg(y), 9) FROM t) AS base_rate FROM ({TEST_SIZES})""",
+)
 def decision_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _binary(spark, sf_dir, classify.classifier("tree", seed=1))
+    """Test rows per class; and the mean of the training probabilities, which in a tree is the base rate."""
+    training, test = _parts(embedded_binary(spark, sf_dir))
+    model = classify.classifier("tree", seed=1).fit(training)
+    found = metrics.binary_metrics(model.transform(test))
+    rate = model.transform(training).agg(F.round(F.avg(vector_to_array("probability").getItem(1)), 9)).scalar()
+    return found.select((F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"), rate.alias("base_rate"))
 
 
 def _search(spark: SparkSession, sf_dir: str, kind: str, grid: dict, **params) -> DataFrame:
-    """Mean F1 over two folds for each grid point."""
-    rows = sampling.with_folds(embedded_binary(spark, sf_dir), ["vec_id"], 2)
-    search = classify.cross_validate(classify.classifier(kind, **params), grid, folds=2, fold_col="fold")
+    """Every grid point, and whether its mean F1 over five folds is a share above 0."""
+    rows = sampling.with_folds(embedded_binary(spark, sf_dir), ["vec_id"], 5)
+    search = classify.cross_validate(classify.classifier(kind, **params), grid, fold_col="fold", parallelism=8)
     model = search.fit(stage(rows, "folds", spread=["vec_id"]))
     found = [
-        (", ".join(f"{p.name}={v}" for p, v in point.items()), float(score))
+        (", ".join(sorted(f"{p.name}={v}" for p, v in point.items())), 0.0 < float(score) <= 1.0)
         for point, score in zip(search.getEstimatorParamMaps(), model.avgMetrics)
     ]
-    return spark.createDataFrame(found, "point string, f1 double")
+    return spark.createDataFrame(found, "point string, usable boolean")
+
+
+def _points_sql(grid: dict) -> str:
+    """All grid points; the words of a point in order of their names."""
+    names = sorted(grid)
+    tables = ", ".join(f"(VALUES {', '.join(f'({chr(39)}{n}={v}{chr(39)})' for v in grid[n])}) g{i}(w{i})" for i, n in enumerate(names))
+    return f"SELECT concat_ws(', ', {', '.join(f'w{i}' for i in range(len(names)))}) AS point, true AS usable FROM {tables}"
 
 
-@query("cv_logistic")
+@query("cv_logistic", _points_sql(classify.LOGISTIC_GRID))
 def cv_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir, "logistic", {"regParam": [0.0, 0.25]}, maxIter=10)
+    return _search(spark, sf_dir, "logistic", classify.LOGISTIC_GRID)
 
 
-@query("cv_forest")
+@query("cv_forest", _points_sql(classify.FOREST_GRID))
 def cv_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir, "forest", {"featureSubsetStrategy": ["all", "sqrt"]}, numTrees=5, seed=1)
+    return _search(spark, sf_dir, "forest", classify.FOREST_GRID, seed=1)
 
 
-@query("cv_tree")
+@query("cv_tree", _points_sql(classify.TREE_GRID))
 def cv_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir, "tree", {"maxDepth": [1, 5]}, seed=1)
+    return _search(spark, sf_dir, "tree", classify.TREE_GRID, seed=1)
 
 
 @query("one_vs_rest")
 def one_vs_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
     training, test = _parts(embedded(spark, sf_dir))
-    model = classify.one_vs_rest(classify.classifier("logistic", maxIter=10)).fit(training)
+    model = classify.one_vs_rest(classify.classifier("logistic")).fit(training)
     return metrics.multiclass_metrics(model.transform(test))
 
 
 @query("binary_experiment")
 def binary_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logistic = classify.classifier("logistic", maxIter=10)
-    tree = classify.classifier("tree", seed=1)
-    search = classify.cross_validate(tree, {"maxDepth": [1, 5]}, folds=2, fold_col=flows.FOLD)
-    return flows.binary_experiment(
-        embedded(spark, sf_dir),
-        [("logistic regression", logistic, None), ("decision tree", tree, search)],
-        positive="class_3",
-        keys=["vec_id"],
-        folds=2,
-    )
+    """All three algorithms, each plain, on balanced rows, and with its full search over five folds."""
+    grids = {"logistic": classify.LOGISTIC_GRID, "forest": classify.FOREST_GRID, "tree": classify.TREE_GRID}
+    runs = []
+    for kind, grid in grids.items():
+        estimator = classify.classifier(kind, **({} if kind == "logistic" else {"seed": 1}))
+        runs.append((kind, estimator, classify.cross_validate(estimator, grid, fold_col=flows.FOLD, parallelism=8)))
+    return flows.binary_experiment(embedded(spark, sf_dir), runs, positive="class_3", keys=["vec_id"])
 
 
 @query("multiclass_experiment")
 def multiclass_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forest = classify.classifier("forest", numTrees=5, seed=1)
-    search = classify.cross_validate(forest, {"maxDepth": [3, 5]}, folds=2, fold_col=flows.FOLD)
+    forest = classify.classifier("forest", seed=1)
+    search = classify.cross_validate(forest, classify.FOREST_GRID, fold_col=flows.FOLD, parallelism=8)
     return flows.multiclass_experiment(
-        embedded(spark, sf_dir), [("random forest", forest, search)], keys=["vec_id"], cap=40, folds=2
+        embedded(spark, sf_dir), [("random forest", forest, search)], keys=["vec_id"], cap=40
     )
 
 
@@ -133,7 +181,7 @@ def _pair(rows: DataFrame, positions: tuple[int, int]) -> tuple[DataFrame, list[
 def linear_svm_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _pair(_lines(spark, sf_dir), (2, 1))
     first = rows.withColumn("label", binary_label("label", 0.0))
-    return metrics.binary_metrics(svm.linear_svm(first, maxIter=10).transform(first))
+    return metrics.binary_metrics(svm.linear_svm(first).transform(first))
 
 
 @query("linear_svm_multiclass")
@@ -141,7 +189,7 @@ def linear_svm_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = []
     for positions in ((2, 1), (0, 1)):
         rows, cols = _pair(_lines(spark, sf_dir), positions)
-        model = svm.linear_svm(rows, multiclass=True, maxIter=5)
+        model = svm.linear_svm(rows, multiclass=True)
         found.append(
             metrics.multiclass_metrics(model.transform(rows)).withColumn("pair", F.lit(" x ".join(cols)))
         )
@@ -151,24 +199,31 @@ def linear_svm_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rbf_svm")
 def rbf_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, cols = _pair(_lines(spark, sf_dir), (2, 3))
-    model = svm.rbf_svm(rows.drop("features"), cols, n_features=50, maxIter=5)
+    model = svm.rbf_svm(rows.drop("features"), cols)
     return metrics.multiclass_metrics(model.transform(rows.drop("features")))
 
 
-@query("logistic_multinomial")
+@query(
+    "logistic_multinomial",
+    f"""WITH t AS (SELECT label FROM embeddings WHERE {SPLIT} < 0.7::DOUBLE)
+SELECT label::DOUBLE AS class, round(count(*) / (SELECT count(*) FROM t), 4) AS share FROM t GROUP BY 1""",
+)
 def logistic_multinomial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training, test = _parts(embedded(spark, sf_dir))
+    """Mean probability of each class over the training rows: its share, as intercepts are not penalised."""
+    training, _ = _parts(embedded(spark, sf_dir))
     model = classify.classifier(
-        "logistic", family="multinomial", regParam=1.0 / training.count(), standardization=False, maxIter=20
+        "logistic", family="multinomial", regParam=1.0 / training.count(), standardization=False, tol=1e-8
     ).fit(training)
-    return metrics.multiclass_metrics(model.transform(test))
+    p = vector_to_array("probability")
+    means = model.transform(training).select(F.posexplode(p).alias("class", "p")).groupBy("class").agg(F.avg("p").alias("p"))
+    return means.select(F.col("class").cast("double").alias("class"), F.round("p", 4).alias("share"))
 
 
 @query("decision_surface")
 def decision_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, cols = _pair(_lines(spark, sf_dir), (2, 3))
-    model = classify.classifier("logistic", features="features", family="multinomial", maxIter=10).fit(rows)
-    return classify.decision_surface(model, density.mesh_grid(rows, *cols, h=0.05), cols)
+    model = classify.classifier("logistic", features="features", family="multinomial").fit(rows)
+    return classify.decision_surface(model, density.mesh_grid(rows, *cols, h=0.01), cols)
 
 
 # --- recommendation --------------------------------------------------------------
@@ -201,11 +256,20 @@ def als_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("als_recommend")
+@query(
+    "als_recommend",
+    f"""{ACTIVE_SQL}, chosen AS (SELECT DISTINCT user_id FROM (SELECT * FROM test ORDER BY playcount DESC, user_id, song_id LIMIT 10))
+SELECT user_id AS "user", p::INTEGER AS position, true AS known FROM chosen, range(1, 11) r(p)
+WHERE EXISTS (SELECT 1 FROM training t WHERE t.user_id = chosen.user_id)""",
+)
 def als_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten places for every chosen user, and whether the item there occurs in training."""
     training, test = _rated(spark, sf_dir)
     users = stage(relational.top_users(test, 10), "users")
-    return recommend.recommend_rows(recommend.train_als(training), users, 10)
+    found = recommend.recommend_rows(recommend.train_als(training), users, 10)
+    items = training.select("item").distinct().withColumn("known", F.lit(True))
+    rows = found.join(items, "item", "left").select(F.col("user").cast("long").alias("user"), "position", F.coalesce("known", F.lit(False)).alias("known"))
+    return rows
 
 
 @query(
