@@ -9,6 +9,10 @@ has no partner at all. The product runs over the first places only, each n-gram
 and pairs whose places leave too few n-grams behind them are discarded. What is left is counted exactly,
 over the n-grams that stand in more than one row (no other can be shared).
 
+An n-gram that very many documents hold would fill its block alone. Such n-grams are found first, from counts
+that tasks have summed already; they are dealt out by document instead, without being counted, and come last
+in the order of every document alike. The result is the same for any set of them.
+
 Groups of copies don't become all their pairs: first every row is met with one hub row per n-gram, the
 links so found are contracted to components, and only pairs between different components are
 met after that. No pair that could link two components is left out.
@@ -34,6 +38,9 @@ from tastecore.plans.staging import stage
 
 BLOCK_ENTRIES = 2_000_000  # matrix entries in a block
 GATHERED = 1_000_000  # entries a map task holds before it deals them out
+HEAVY_ROWS, HEAVY_PART = 20_000, 500  # an n-gram of that many documents, and of one in that many, is dealt out by document
+LOCAL_ROWS = 4  # rows among the gathered ones from which on a task reports an n-gram
+UNCOUNTED = np.uint32(2**32 - 1)
 HUB_ROUNDS = 2
 
 
@@ -50,17 +57,52 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
 BLOCK_SCHEMA = "block int, grams binary, counts binary, set_ids binary, sizes binary"
 
 
-def _deal(texts: Iterator[pa.RecordBatch], width: int, blocks: int) -> Iterator[pa.RecordBatch]:
-    """Matrix entries by block: n-grams, row after row, with the number that each row has in the block."""
+def _gathered(texts: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[int, np.ndarray]]:
+    """Different sets by fingerprint, about GATHERED entries at a time."""
     held: dict[int, np.ndarray] = {}
     size = 0
+    for part in slices(texts):
+        for grams in shingle_sets(part.column(0).to_pylist(), width):
+            if len(grams) and (key := fingerprint(grams)) not in held:
+                held[key] = grams
+                size += len(grams)
+        if size >= GATHERED:
+            yield held
+            held, size = {}, 0
+    if held:
+        yield held
+
+
+def _frequent(texts: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for held in _gathered(texts, width):
+        grams, rows = np.unique(np.concatenate(list(held.values())), return_counts=True)
+        many = rows >= LOCAL_ROWS
+        yield pa.RecordBatch.from_pydict({"gram": pa.array(grams[many].view(np.int64)), "n": pa.array(rows[many], pa.int64())})
+
+
+def heavy_grams(texts: DataFrame, documents: int, width: int) -> np.ndarray:
+    """N-grams of at least one in HEAVY_PART documents: HEAVY_PART times the mean set size of them at most."""
+    found = map_arrow(texts, lambda parts: _frequent(parts, width), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = found.filter(F.col("n") >= F.lit(max(HEAVY_ROWS, documents // HEAVY_PART))).select("gram").collect()
+    return np.sort(np.array([r["gram"] for r in rows], np.int64).view(np.uint64))
 
-    def flush() -> pa.RecordBatch:
+
+def _is_heavy(grams: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    if not len(heavy):
+        return np.zeros(len(grams), bool)
+    return heavy[np.minimum(np.searchsorted(heavy, grams), len(heavy) - 1)] == grams
+
+
+def _deal(texts: Iterator[pa.RecordBatch], width: int, blocks: int, heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Matrix entries by block: n-grams, row after row, with the number that each row has in the block."""
+
+    def dealt(held: dict[int, np.ndarray]) -> pa.RecordBatch:
         set_ids, sets = np.array(list(held), np.int64), list(held.values())
         sizes = np.array([len(s) for s in sets], np.uint32)
         grams = np.concatenate(sets)
         row = np.repeat(np.arange(len(sets)), sizes)
-        block = ((grams >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int32)
+        by = np.where(_is_heavy(grams, heavy), set_ids.view(np.uint64)[row] ^ grams, grams)
+        block = ((by >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int32)
         order = np.argsort(block, kind="stable")
         grams, row = grams[order], row[order]
         limits = np.searchsorted(block[order], np.arange(blocks + 1))
@@ -74,16 +116,7 @@ def _deal(texts: Iterator[pa.RecordBatch], width: int, blocks: int) -> Iterator[
                     out[name].append(value)
         return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "block" else pa.binary()) for k, v in out.items()})
 
-    for part in slices(texts):
-        for grams in shingle_sets(part.column(0).to_pylist(), width):
-            if len(grams) and (key := fingerprint(grams)) not in held:
-                held[key] = grams
-                size += len(grams)
-        if size >= GATHERED:
-            yield flush()
-            held, size = {}, 0
-    if held:
-        yield flush()
+    yield from map(dealt, _gathered(texts, width))
 
 
 SHARED_SCHEMA = "rows_block int, set_ids binary, grams binary, rows binary, sizes binary"
@@ -93,7 +126,7 @@ def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.concatenate([np.frombuffer(v, kind) for v in table.column(name).to_pylist()] or [np.empty(0, kind)])
 
 
-def _count_block(table: pa.Table, blocks: int) -> pa.Table:
+def _count_block(table: pa.Table, blocks: int, heavy: np.ndarray) -> pa.Table:
     """Of one block, the entries whose n-gram stands in more than one row, with that number of rows."""
     counts = _joined(table, "counts", np.uint32)
     grams = _joined(table, "grams", np.uint64)
@@ -102,7 +135,7 @@ def _count_block(table: pa.Table, blocks: int) -> pa.Table:
     order = np.argsort(grams, kind="stable")
     grams, set_ids, sizes = grams[order], set_ids[order], sizes[order]
     equal = grams[1:] == grams[:-1]
-    many = np.concatenate(([False], equal)) | np.concatenate((equal, [False]))
+    many = np.concatenate(([False], equal)) | np.concatenate((equal, [False])) | _is_heavy(grams, heavy)
     grams, set_ids, sizes = grams[many], set_ids[many], sizes[many]
     order = np.lexsort((set_ids, grams))  # the same row may have come from several tasks
     grams, set_ids, sizes = grams[order], set_ids[order], sizes[order]
@@ -113,6 +146,7 @@ def _count_block(table: pa.Table, blocks: int) -> pa.Table:
     first[1:] = grams[1:] != grams[:-1]
     number = np.cumsum(first) - 1
     rows = np.bincount(number, minlength=1)[number].astype(np.uint32) if len(grams) else np.empty(0, np.uint32)
+    rows[_is_heavy(grams, heavy)] = UNCOUNTED
     shared = rows > 1
     grams, set_ids, sizes, rows = grams[shared], set_ids[shared], sizes[shared], rows[shared]
     target = (set_ids.view(np.uint64) >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
@@ -196,8 +230,10 @@ def linked_sets(docs: DataFrame, sets: DataFrame, width: int, percent: int) -> D
     total = sets.agg(F.sum("n_shingles")).head()[0] or 0
     blocks = max(1, -(-total // BLOCK_ENTRIES))
     ship_package(docs)
-    dealt = map_arrow(docs.select(F.col("text").cast("string").alias("text")), lambda parts: _deal(parts, width, blocks), BLOCK_SCHEMA)
-    shared = dealt.groupBy("block").applyInArrow(lambda block: _count_block(block, blocks), SHARED_SCHEMA)
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    heavy = heavy_grams(texts, sets.count(), width)
+    dealt = map_arrow(texts, lambda parts: _deal(parts, width, blocks, heavy), BLOCK_SCHEMA)
+    shared = dealt.groupBy("block").applyInArrow(lambda block: _count_block(block, blocks, heavy), SHARED_SCHEMA)
     rows = stage(shared.groupBy("rows_block").applyInArrow(lambda block: _candidates(block, percent), CANDIDATE_SCHEMA), "rows")
     places = stage(map_arrow(rows, _first_places, "gram long, set_id long, n long, weight double, place long"), "places")
     roots = rows.select(F.col("set_id").alias("node"), F.col("set_id").alias("root"))

@@ -62,10 +62,11 @@ def test_shingle_sizes_and_identity():
     assert sets[3].tolist() == sets[4].tolist() and sets[7].tolist() != sets[8].tolist()
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_all_pairs(spark, monkeypatch, seed):
+@pytest.mark.parametrize("seed,heavy", [(1, 20_000), (2, 20_000), (2, 10)])
+def test_equals_all_pairs(spark, monkeypatch, seed, heavy):
     """Stars, chains, copies and texts around the limit; small blocks, so that many tasks take part."""
     monkeypatch.setattr(ngram_join, "BLOCK_ENTRIES", 3_000)
+    monkeypatch.setattr(ngram_join, "HEAVY_ROWS", heavy)
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(400)]
     rows, number = [], iter(range(10_000))
