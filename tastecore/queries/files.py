@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastecore import sources
+from tastecore.plans import flows
 from tastecore.plans.staging import scratch_path
 from tastecore.queries.registry import query
 from tastecore.queries.tables import table
@@ -217,3 +219,31 @@ FROM lineitem ORDER BY l_orderkey, l_partkey, l_linenumber, l_returnflag LIMIT 1
 def preview_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag")
     return sources.preview_json(lines, ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"])
+
+
+@query(
+    "genre_features",
+    """WITH f AS (SELECT o_totalprice AS a, o_custkey AS b, o_orderpriority AS genre,
+  CAST(o_orderkey AS VARCHAR) AS track_id FROM orders WHERE o_orderstatus <> 'P')
+SELECT track_id, genre, round(a / (SELECT stddev_samp(a) FROM f), 5) AS scaled_a,
+  round(b / (SELECT stddev_samp(b) FROM f), 5) AS scaled_b FROM f""",
+)
+def genre_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From attribute, feature and genre files to labelled, scaled vectors; tracks without a genre go."""
+    root, name = scratch_path(spark, "genres"), "lines"
+    attributes = [("METHOD_A", "real"), ("METHOD_B", "NUMERIC"), ("MSD_TRACKID", "String")]
+    sources.write_delimited(
+        spark.createDataFrame(attributes, "name string, type string").coalesce(1),
+        sources.schemas.attribute_path(root, name),
+        header=False,
+    )
+    orders = table(spark, sf_dir, "orders").withColumn("track", F.col("o_orderkey").cast("string"))
+    rows = orders.select("o_totalprice", "o_custkey", F.concat(F.lit("'"), "track", F.lit("'")))
+    sources.write_delimited(rows, sources.schemas.data_glob(root, name)[:-2], header=False)
+    genres = orders.filter("o_orderstatus <> 'P'").select("track", "o_orderpriority")
+    sources.write_delimited(genres, f"{root}/genres", sep="\t", header=False)
+    labelled = flows.genre_dataset(
+        sources.read_features(spark, name, root), sources.read_tsv(spark, f"{root}/genres", sources.GENRE_SCHEMA), "method"
+    )
+    scaled = vector_to_array("scfeatures")
+    return labelled.select("track_id", "genre", F.round(scaled[0], 5).alias("scaled_a"), F.round(scaled[1], 5).alias("scaled_b"))

@@ -22,7 +22,11 @@ def read_features(
 ) -> DataFrame:
     """Headerless CSV parts, typed by the attribute file next to them."""
     root = root.rstrip("/")
-    schema = schema_from_attributes(spark.read.csv(attribute_path(root, name)), id_name=id_name)
+    attributes = spark.read.csv(attribute_path(root, name))
+    # Rows of several files or splits would come in no certain order.
+    if len(attributes.inputFiles()) != 1 or len(attributes.select(F.spark_partition_id()).distinct().collect()) > 1:
+        raise ValueError(f"the attributes of {name} have to be one file in one split")
+    schema = schema_from_attributes(attributes, id_name=id_name)
     rows = spark.read.schema(schema).csv(data_glob(root, name))
     return _spread(rows.withColumn(id_name, strip_quotes(id_name)), partitions)
 

@@ -39,16 +39,13 @@ MISMATCH_FIELDS = {"song_id": (9, 18), "track_id": (28, 18)}
 def schema_from_attributes(
     attributes: DataFrame, id_aliases: Iterable[str] = ID_ALIASES, id_name: str = "track_id"
 ) -> T.StructType:
-    """Rows (name, type), in file order, to a schema with every column nullable.
+    """Rows (name, type), in their order, to a schema with every column nullable.
 
-    A schema lives on the driver, so all rows are collected. Their order has to be that of one
-    file in one split; rows of several files or splits come in no certain order and are refused.
+    A schema lives on the driver, so all rows are collected; `read_features` makes sure that
+    they come from one file, whose lines keep their order.
     """
     aliases = set(id_aliases)
-    rows = attributes.toDF("name", "type").select("*", F.spark_partition_id().alias("_part")).collect()
-    if len({r["_part"] for r in rows}) > 1 or len(attributes.inputFiles()) > 1:
-        raise ValueError("attributes have to come from one file in one split")
-    pairs = rows
+    pairs = attributes.toDF("name", "type").collect()
     schema = T.StructType()
     for pair in pairs:
         name, kind = pair["name"].lower(), pair["type"].lower()

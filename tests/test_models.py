@@ -71,6 +71,23 @@ def test_linear_svm(blobs):
     assert _accuracy(svm.linear_svm(blobs, multiclass=True, maxIter=15), blobs) > 0.97
 
 
+def test_linear_svm_penalises_the_raw_columns(spark):
+    """The coefficients minimise mean hinge loss + |w|^2 / (2 C n) on columns of very different scale."""
+    draw = np.random.default_rng(4)
+    y = np.repeat([0.0, 1.0], 60)
+    x = np.stack([draw.normal(y * 1.5, 1.0), 20 * draw.normal(y, 1.0)], axis=1)
+    rows = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "m_x double, m_y double, label double")
+    data, c = features.assemble(rows, ["m_x", "m_y"], "scfeatures"), 0.05
+    model = svm.linear_svm(data, "scfeatures", c=c, maxIter=300, tol=1e-10)
+
+    def loss(w, b):
+        return np.maximum(0, 1 - (2 * y - 1) * (x @ w + b)).mean() + w @ w / (2 * c * len(y))
+
+    w, b = model.coefficients.toArray(), model.intercept
+    steps = [(np.array(d) * s, e * s) for d in ([1, 0], [0, 1], [-1, 0], [0, -1], [0, 0]) for e in (-1, 0, 1) for s in (0.02, 0.005)]
+    assert all(loss(w, b) <= loss(w + dw, b + db) + 1e-6 for dw, db in steps)
+
+
 def test_rings_need_the_kernel(rings):
     assert _accuracy(svm.linear_svm(rings, maxIter=15), rings) < 0.8
     raw = rings.select("m_x", "m_y", "label")

@@ -106,6 +106,36 @@ def test_inventory_usage_and_lines(spark, tmp_path):
     assert lines == {"top.txt": 2, "x.txt": 1, "z.txt.gz": 7}
 
 
+def test_inventory_below_a_repeated_root(spark, tmp_path):
+    root = tmp_path / "t/a"
+    inside = root / str(root).lstrip("/") / "x"
+    inside.mkdir(parents=True)
+    (inside / "f.txt").write_text("1")
+    found = sources.file_inventory(spark, str(root)).collect()
+    assert [r["path"] for r in found] == [str(root).lstrip("/") + "/x/f.txt"]
+
+
+def test_attributes_in_several_files_are_refused(spark, tmp_path):
+    path = str(tmp_path) + "/audio/attributes/s.attributes.csv"
+    spark.range(4).selectExpr("concat('a', id)", "'real'").repartition(2).write.csv(path)
+    with pytest.raises(ValueError, match="one file"):
+        sources.read_features(spark, "s", str(tmp_path))
+
+
+def test_staging_scope_deletes_what_was_staged_inside(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from tastecore.plans.staging import stage, staging_scope
+
+    before = stage(spark.range(3))
+    with staging_scope(spark):
+        inside = stage(spark.range(5))
+        path = Path(urlparse(inside.inputFiles()[0]).path)
+        assert path.exists() and inside.count() == 5
+    assert not path.parent.exists() and before.count() == 3
+
+
 def test_labelled(spark):
     df = spark.createDataFrame([(1, 2, "SETOSA")], "a int, b int, c string")
     out = sources.labelled(df, ["b", "a"], "c")
