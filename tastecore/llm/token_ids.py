@@ -34,6 +34,17 @@ DROPPING = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{
 BYTE_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
+class _Known(dict):
+    """Places by piece; a missing one is noted and gets -1."""
+
+    def __init__(self) -> None:
+        self.missed: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.missed.append(piece)
+        return -1
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -49,7 +60,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.starts = np.zeros(1024, np.int64)
         self.lengths = np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.uint32)
@@ -93,27 +104,26 @@ class Encoder:
             return [piece]
         return self.pattern.findall(piece)
 
-    def _places(self, pieces: Sequence[str]) -> list[int]:
+    def _places(self, pieces: Sequence[str]) -> np.ndarray:
         """Where the ids of all pre-tokens of the pieces are remembered; those not known are learned."""
-        get = self.known.get
-        found: list = list(map(get, pieces))
-        if None not in found:
-            return found
-        split: list = []
-        again: dict[str, str] = {}  # other spellings of one pre-token
-        for piece, at in zip(pieces, found):
-            if at is not None:
-                split.append(at)
-            else:
-                parts = self._parts(piece)
-                split += [part if (at := get(part)) is None else at for part in parts]
-                if len(parts) == 1 and parts[0] != piece:
-                    again[piece] = parts[0]
-        unknown = list(dict.fromkeys(x for x in split if type(x) is str))
+        known = self.known
+        known.missed.clear()
+        at = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        missed = list(known.missed)
+        if not missed:
+            return at
+        parts = [self._parts(p) for p in missed]
+        unknown = list(dict.fromkeys(x for own in parts for x in own if x not in known))
         if unknown:
             self._remember(dict(zip(unknown, self._encoded(unknown))))
-        self.known.update((piece, get(part)) for piece, part in again.items())
-        return [get(x) if type(x) is str else x for x in split]
+        for piece, own in zip(missed, parts):
+            if len(own) == 1 and own[0] != piece:  # another spelling of one pre-token
+                known[piece] = known[own[0]]
+        counts = np.ones(len(at), np.int64)
+        counts[at < 0] = [len(own) for own in parts]
+        at = np.repeat(at, counts)
+        at[at < 0] = [known[x] for own in parts for x in own]
+        return at
 
     def _remember(self, fresh: dict[str, list[int]]) -> None:
         sizes = np.fromiter(map(len, fresh.values()), np.int64, len(fresh))
@@ -139,7 +149,7 @@ class Encoder:
                 continue
             if len(self.known) > REMEMBERED:
                 self._forget()
-            at = np.array(self._places(pieces), np.int64)
+            at = self._places(pieces)
             sizes = self.lengths[at]
             ends = np.cumsum(sizes)
             places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + sizes, sizes)

@@ -55,7 +55,7 @@ class WaveletMatrix:
         values = values.astype(np.uint16 if depth <= 16 else np.uint32)
         planes = []
         for level in reversed(range(depth)):
-            bits = (values >> level & 1).view(np.uint8).reshape(len(values), -1)[:, 0].astype(bool)
+            bits = (values & values.dtype.type(1 << level)) != 0
             packed = np.packbits(bits, bitorder="little")
             planes.append(np.concatenate((packed, np.zeros(-len(packed) % 8, np.uint8))).view(np.uint64))
             values = np.concatenate((values[~bits], values[bits]))
