@@ -136,19 +136,19 @@ def _target_tokens(weights: Mapping[str, float], domains: tuple[str, ...], budge
     return budget * wanted / wanted.sum() if wanted.sum() else np.zeros(len(domains))
 
 
-def find_rates(docs: DataFrame, classifier: DomainClassifier, weights: Mapping[str, float], share: float) -> tuple[DataFrame, Rates]:
-    """Staged doc_id, tokens and posteriors, and the rates for a mix of `share` times the corpus' tokens.
+def find_rates(scored: DataFrame, classifier: DomainClassifier, weights: Mapping[str, float], share: float) -> Rates:
+    """Rates for a mix of `share` times the corpus' tokens; `scored` is stored, as every step reads it.
 
     `weights` are the domains' parts of the mix; domains without a weight are to get no tokens.
     """
-    scored = stage(with_posteriors(docs.select("doc_id", "text"), classifier).select("doc_id", TOKENS, POSTERIORS), "posteriors")
     total = scored.agg(F.sum(TOKENS)).head()[0] or 0.0
-    return scored, solve(scored, _target_tokens(weights, classifier.domains, share * total))
+    return solve(scored, _target_tokens(weights, classifier.domains, share * total))
 
 
 def document_rates(docs: DataFrame, classifier: DomainClassifier, weights: Mapping[str, float], share: float) -> DataFrame:
     """doc_id, n_tokens, posteriors, rate and copies (the rate rounded up or down by a hash of doc_id)."""
-    scored, rates = find_rates(docs, classifier, weights, share)
+    scored = stage(with_posteriors(docs.select("doc_id", "text"), classifier).select("doc_id", TOKENS, POSTERIORS), "posteriors")
+    rates = find_rates(scored, classifier, weights, share)
     return scored.select(
         "doc_id", F.col(TOKENS).cast("long").alias("n_tokens"), F.col(POSTERIORS).alias("posteriors"), rates.column().alias("rate")
     ).withColumn("copies", _copies(F.col("rate"), F.col("doc_id")))
@@ -161,7 +161,8 @@ def _copies(rate: Column, key: Column) -> Column:
 
 def mixed(docs: DataFrame, classifier: DomainClassifier, weights: Mapping[str, float], share: float) -> DataFrame:
     """The rows of `docs`, each as often as its rate says: not at all, once or several times."""
-    _, rates = find_rates(docs, classifier, weights, share)
-    scored = with_posteriors(docs, classifier).withColumn("_mix_copies", _copies(rates.column(), F.col("doc_id")))
-    taken = scored.filter("_mix_copies > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return taken.select(*docs.columns)
+    # Stored with its posteriors: as expressions they would be repeated in every use of the rate.
+    scored = stage(with_posteriors(docs, classifier), "scored")
+    rates = find_rates(scored, classifier, weights, share)
+    taken = scored.withColumn("_mix_copies", _copies(rates.column(), F.col("doc_id"))).filter("_mix_copies > 0")
+    return taken.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
