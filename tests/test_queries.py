@@ -20,7 +20,11 @@ def test_every_oracle_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# 360 forests: run by tests/check_all.py.
+LONG = {"cv_forest"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - LONG))
 def test_query_equals_sql(spark, con, name):
     df = QUERIES[name](spark, SF)
     assert difference(df, con, ORACLES[name]) is None
