@@ -22,7 +22,7 @@ from itertools import chain
 import numpy as np
 import regex
 
-REMEMBERED = 1_500_000  # distinct pre-tokens, about 200 bytes each
+REMEMBERED = 1_000_000  # distinct pre-tokens, about 200 bytes each
 # Characters that Python's split() takes for white space and the tokenizer does not.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 WIDE_SPACE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\t\r\v\f"
