@@ -21,7 +21,8 @@ def test_stages_are_named_in_order():
 def test_each_stage_works_on_what_is_left(spark, tmp_path):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame(
-        [(9001, None, "en", "x", 0), (9002, "", "en", "x", 0), (9003, "12 34 !!", None, "x", 8), (None, "the and of that", "en", None, None)], documents.schema
+        [(9001, None, "en", "x", 0), (9002, "", "en", "x", 0), (9003, "12 34 !!", None, "x", 8), (None, "the and of that", "en", None, None),
+         (9100, "the and of that is to in the password=45bb0d53635bf1b89d and the of", "en", "x", 10)], documents.schema
     )
     docs, columns, kept = documents.unionByName(extra), documents.columns, []
     for number, (name, function) in enumerate(corpus_pipeline.STAGES):
