@@ -7,8 +7,10 @@ A node's part is bounded whatever the number of nodes that name it.
 
 Search is greedy over the graph and its reverse, for all queries at once: the nearest nodes seen that
 were not opened yet are opened, their neighbours compared, and the nearest `beam` kept, until all of those
-are opened. A query starts at drawn entry nodes and, if it is a row of the index, at its own node. Vectors are
-walked as 8-bit codes; the nearest `exact` of a beam are compared by their original components.
+are opened. A query starts at drawn entry nodes and, if it is a row of the index, at its own node.
+
+Graph and walk compare the original components, held as they are in the table (float or double) and
+subtracted in doubles, so neither one very long vector nor near copies change what is near.
 
 Equal vectors are one node. Edge cases: see `vectors.usable`; zero vectors take no part; with few
 candidates all are returned; ties go to the smaller id; without candidates a query has no rows.
@@ -16,13 +18,14 @@ candidates all are returned; ties go to the smaller id; without candidates a que
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tastecore.llm.batches import map_arrow, slices
 from tastecore.llm.vectors import classes, drawn, ranked, usable
@@ -31,20 +34,20 @@ from tastecore.plans.staging import stage
 NEIGHBOURS = 30
 STARTS, BLOCK, BLOCK_NEIGHBOURS = 8, 512, 15
 ROUNDS, DRAWN = 2, 12
-ENTRIES, BEAM, OPENED, EXACT = 1_024, 200, 100, 64
+ENTRIES, BEAM, OPENED = 1_024, 200, 100
 PLANES = 10
 
 PAIRS = "node long, other long, apart double"
 
 
-def _codes(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1).astype(np.float32)
+def _codes(codes: Sequence[bytes], kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(codes), kind).reshape(len(codes), -1).astype(np.float64)
 
 
 def _apart(a: np.ndarray) -> np.ndarray:
     """Squared distances between all rows; infinite to itself."""
     square = (a * a).sum(1)
-    apart = square[:, None] + square - 2 * (a @ a.T)
+    apart = np.maximum(square[:, None] + square - 2 * (a @ a.T), 0)
     np.fill_diagonal(apart, np.inf)
     return apart
 
@@ -53,20 +56,20 @@ def _pair_batch(node: np.ndarray, other: np.ndarray, apart: np.ndarray) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(other, pa.int64()), pa.array(apart, pa.float64())], names=["node", "other", "apart"])
 
 
-def _sides(batches: Iterator[pa.RecordBatch], planes: np.ndarray, middle: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sides(batches: Iterator[pa.RecordBatch], kind: str, planes: np.ndarray, middle: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The sides of the hyperplanes as one number, and the place along the last."""
     for rows in slices(batches, 4096):
-        along = _codes(rows.column(1)) @ planes - middle
+        along = _codes(rows.column(1).to_pylist(), kind) @ planes - middle
         side = (along[:, :-1] > 0) @ (1 << np.arange(PLANES)[::-1])
         columns = [rows.column(0), rows.column(1), pa.array(side, pa.int64()), pa.array(along[:, -1], pa.float64())]
         yield pa.RecordBatch.from_arrays(columns, names=["node", "code", "side", "along"])
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_pairs(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     """Nearest rows within runs of BLOCK rows."""
     for rows in _regrouped(batches, BLOCK):
         nodes = rows.column("node").to_numpy()
-        apart = _apart(_codes(rows.column("code")))
+        apart = _apart(_codes(rows.column("code").to_pylist(), kind))
         keep = min(BLOCK_NEIGHBOURS, len(nodes) - 1)
         if keep > 0:
             best = np.argpartition(apart, keep - 1, axis=1)[:, :keep]
@@ -90,13 +93,13 @@ def _regrouped(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _around(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     """Rows (center, node, code, farthest) in order of center: pairs around a center nearer than a node's farthest."""
     held: list[tuple] = []
 
     def pairs() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         nodes = np.array([h[1] for h in held], np.int64)
-        apart = _apart(np.frombuffer(b"".join(h[2] for h in held), np.int8).reshape(len(held), -1).astype(np.float32))
+        apart = _apart(_codes([h[2] for h in held], kind))
         i, j = np.nonzero(apart < np.array([h[3] for h in held])[:, None])
         return nodes[i], nodes[j], apart[i, j]
 
@@ -120,18 +123,18 @@ def _nearest(pairs: DataFrame, most: int) -> DataFrame:
     return once.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
 
 
-def build_graph(codes: DataFrame, total: int, seed: int = 0) -> DataFrame:
+def build_graph(codes: DataFrame, total: int, kind: str, seed: int = 0) -> DataFrame:
     """(node, other, apart): about the NEIGHBOURS nearest others of each node of (node, code)."""
     sample = drawn(codes, "node", ENTRIES, total).collect() or codes.limit(1).collect()  # about ENTRIES rows
-    values = np.frombuffer(b"".join(r["code"] for r in sample), np.int8).reshape(len(sample), -1).astype(np.float32)
+    values = _codes([r["code"] for r in sample], kind)
     draw = np.random.default_rng(seed)
     starts = []
     for _ in range(STARTS):
-        planes = draw.normal(size=(values.shape[1], PLANES + 1)).astype(np.float32)
+        planes = draw.normal(size=(values.shape[1], PLANES + 1))
         middle = np.median(values @ planes, axis=0)
-        sides = map_arrow(codes, lambda rows, p=planes, m=middle: _sides(rows, p, m), "node long, code binary, side long, along double")
+        sides = map_arrow(codes, lambda rows, p=planes, m=middle: _sides(rows, kind, p, m), "node long, code binary, side long, along double")
         ordered = sides.repartitionByRange("side", "along", "node").sortWithinPartitions("side", "along", "node").select("node", "code")
-        starts.append(map_arrow(ordered, _block_pairs, PAIRS))
+        starts.append(map_arrow(ordered, lambda rows: _block_pairs(rows, kind), PAIRS))
     graph = stage(_nearest(reduce(DataFrame.unionAll, starts), NEIGHBOURS), "graph")
     for turn in range(ROUNDS):
         chance = F.pmod(F.xxhash64("node", "other", F.lit(turn)), F.lit(1 << 30))
@@ -140,47 +143,47 @@ def build_graph(codes: DataFrame, total: int, seed: int = 0) -> DataFrame:
         farthest = graph.groupBy("node").agg(F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.max("apart")).otherwise(F.lit(float("inf"))).alias("farthest"))
         around = ahead.unionAll(back).distinct().join(codes, "node").join(farthest, "node")
         met = around.select("center", "node", "code", "farthest").repartition("center").sortWithinPartitions("center")
-        graph = stage(_nearest(graph.unionAll(map_arrow(met, _around, PAIRS)), NEIGHBOURS), "graph")
+        graph = stage(_nearest(graph.unionAll(map_arrow(met, lambda rows: _around(rows, kind), PAIRS)), NEIGHBOURS), "graph")
     return graph
 
 
-def _first_nodes(batches: Iterator[pa.RecordBatch], entries: np.ndarray, codes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+def _first_nodes(batches: Iterator[pa.RecordBatch], kind: str, entries: np.ndarray, codes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
     for rows in slices(batches):
-        q = _codes(rows.column(1))
+        q = _codes(rows.column(1).to_pylist(), kind)
         apart = (q * q).sum(1)[:, None] + (codes * codes).sum(1) - 2 * q @ codes.T
         best = np.argsort(apart, axis=1)[:, :most]
         ids = rows.column(0).to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best.shape[1])), pa.array(entries[best].ravel())], names=["query_id", "node"])
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measure(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     for rows in slices(batches, 4096):
-        gap = _codes(rows.column(2)) - _codes(rows.column(3))
+        gap = _codes(rows.column(2).to_pylist(), kind) - _codes(rows.column(3).to_pylist(), kind)
         yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array((gap * gap).sum(1), pa.float64())], names=["query_id", "node", "apart"])
 
 
-def greedy_search(graph: DataFrame, codes: DataFrame, queries: DataFrame, total: int) -> DataFrame:
-    """(query_id, node, apart): the BEAM nearest nodes that the walk from each query (query_id, code, node) found.
+def greedy_search(graph: DataFrame, codes: DataFrame, queries: DataFrame, total: int, kind: str, most: int = BEAM) -> DataFrame:
+    """(query_id, node, apart): the `most` nearest nodes that the walk from each query (query_id, code, node) found.
 
     `node` is the query's own node in the index, or null.
     """
     sample = sorted(drawn(codes, "node", ENTRIES, total).collect() or codes.limit(1).collect())
     entries = np.array([r["node"] for r in sample], np.int64)
-    entry_codes = np.frombuffer(b"".join(r["code"] for r in sample), np.int8).reshape(len(sample), -1).astype(np.float32)
+    entry_codes = _codes([r["code"] for r in sample], kind)
     edges = graph.select("node", "other")
     edges = stage(edges.unionAll(edges.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "edges")
     asked = queries.select("query_id", F.col("code").alias("query_code"))
 
     def measured(found: DataFrame) -> DataFrame:
         both = found.join(codes, "node").join(asked, "query_id").select("query_id", "node", "code", "query_code")
-        return map_arrow(both, _measure, "query_id long, node long, apart double")
+        return map_arrow(both, lambda rows: _measure(rows, kind), "query_id long, node long, apart double")
 
-    first = map_arrow(queries.select("query_id", "code"), lambda rows: _first_nodes(rows, entries, entry_codes, STARTS), "query_id long, node long")
+    first = map_arrow(queries.select("query_id", "code"), lambda rows: _first_nodes(rows, kind, entries, entry_codes, STARTS), "query_id long, node long")
     first = first.unionAll(queries.filter("node is not null").select("query_id", "node")).distinct()
     new = stage(measured(first), "measured")
     seen, beam = new, new.withColumn("opened", F.lit(False))
     while True:
-        kept = ranked(beam, "query_id", [F.col("apart"), F.col("node")], BEAM).drop("rank")
+        kept = ranked(beam, "query_id", [F.col("apart"), F.col("node")], most).drop("rank")
         turn = F.row_number().over(Window.partitionBy("query_id").orderBy("opened", "apart", "node"))
         kept = stage(kept.withColumn("now", ~F.col("opened") & (turn <= OPENED)), "beam")
         opening = kept.filter("now").select("query_id", "node")
@@ -203,13 +206,12 @@ def nearest_rows(table: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return table.sparkSession.createDataFrame([], schema)
-    most = nodes.agg(F.max(F.array_max(F.transform("vector", F.abs)))).head()[0]
-    codes = stage(map_arrow(nodes, lambda batches: _coded(batches, most), "node long, code binary"), "codes")
+    kind = "f4" if isinstance(table.schema["embedding"].dataType.elementType, FloatType) else "f8"
+    codes = stage(map_arrow(nodes, lambda batches: _coded(batches, kind), "node long, code binary"), "codes")
     asked = rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").dropDuplicates(["vec_id"])
     asked = asked.join(nodes, "vector").select(F.col("vec_id").alias("query_id"), "node", "vector")
     asked = stage(asked.join(codes, "node"), "queries")
-    found = greedy_search(build_graph(codes, total), codes, asked, total)
-    close = ranked(found, "query_id", [F.col("apart"), F.col("node")], EXACT).select("query_id", "node")
+    close = greedy_search(build_graph(codes, total, kind), codes, asked, total, kind, max(BEAM, k + 1)).select("query_id", "node")
     gap = F.aggregate(F.zip_with("vector", "query_vector", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x)
     exact = close.join(nodes, "node").join(asked.select("query_id", F.col("vector").alias("query_vector")), "query_id")
     exact = exact.select("query_id", "node", F.sqrt(gap).alias("score"))
@@ -217,8 +219,8 @@ def nearest_rows(table: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return ranked(others, "query_id", [F.col("score"), F.col("vec_id")], k).select("query_id", "rank", "vec_id", "score")
 
 
-def _coded(batches: Iterator[pa.RecordBatch], most: float) -> Iterator[pa.RecordBatch]:
+def _coded(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
+    """The components as bytes."""
     for rows in slices(batches):
-        values = np.stack(rows.column(1).to_numpy(zero_copy_only=False)) if rows.num_rows else np.empty((0, 0))
-        codes = np.rint(values * (127.0 / most)).astype(np.int8)
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], names=["node", "code"])
+        values = rows.column(1).to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([v.astype(kind).tobytes() for v in values], pa.binary())], names=["node", "code"])

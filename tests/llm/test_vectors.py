@@ -76,6 +76,21 @@ def test_nn_descent_recall(spark):
     assert hits >= 0.9 * 10 * len(queries)
 
 
+@pytest.mark.parametrize("schema", [SCHEMA, SCHEMA.replace("float", "double")])
+def test_nn_descent_recall_with_an_outlier_and_near_copies(spark, schema):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(0, 0.3, (1500, 12))
+    vectors[200:1200] = vectors[200] + rng.normal(0, 1e-5, (1000, 12))
+    vectors[1499, 0] = 1e6
+    vectors = vectors.astype(np.float32).astype(float) if schema == SCHEMA else vectors
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], schema).repartition(5)
+    found = nn_descent.nearest_rows(table, table.filter("vec_id % 25 = 0"), 10).collect()
+    by_id = dict(enumerate(vectors))
+    for queries in (range(0, 200, 25), range(200, 1200, 25), range(1200, 1500, 25)):
+        hits = [i in {r.vec_id for r in found if r.query_id == q} for q in queries for _, i in nearest(by_id, q, 10)]
+        assert sum(hits) >= 0.95 * len(hits)
+
+
 def test_nn_descent_returns_all_of_few(spark):
     rows = [(i, [float(i), 1.0], 0) for i in range(7)] + [(7, [3.0, 1.0], 0)]
     table = spark.createDataFrame(rows, SCHEMA)
