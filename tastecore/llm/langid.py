@@ -7,8 +7,9 @@ the false positives of that language's slice, and the largest corrected count de
 
 Edge cases: a null text or one without a letter gives `und` and score 0; without any learned
 language every text gives `und`; equal counts go to the language with the smaller name; repeated
-rows are each answered; long texts are read in pieces that overlap by n - 1 characters, so all
-their n-grams count. Columns other than doc_id and text are never read.
+rows are each answered; a text's n-grams end at its own opening and closing space, whatever texts are
+read with it; long texts are read in pieces that overlap by n - 1 characters, so all their n-grams
+count once. Columns other than doc_id and text are never read.
 """
 
 from __future__ import annotations
@@ -49,34 +50,55 @@ def _letters() -> np.ndarray:
     return table
 
 
-def _grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams of the texts (as numbers) and each text's bounds among them."""
-    lowered = [f"  {t}  ".lower() for t in texts]
-    ends = np.cumsum([len(t) for t in lowered])
-    points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+def _grams(parts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams within each of the parts (as numbers) and each part's bounds among them."""
+    ends = np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64)))
+    points = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     points = _letters()[points]
     space = points == 32
-    keep = ~(space & np.concatenate(([True], space[:-1])))  # runs of non-letters become one space
-    before = np.concatenate(([0], np.cumsum(keep)))
+    keep = ~(space & np.concatenate(([False], space[:-1])))  # runs of non-letters become one space
+    keep[ends[:-1][ends[:-1] < len(keep)]] = True  # but each part has its own
+    ends = np.concatenate(([0], np.cumsum(keep)))[ends]
     points = points[keep].astype(np.uint64)
     if len(points) < GRAM:
-        return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+        return np.empty(0, np.uint64), np.zeros(len(parts) + 1, np.int64)
     grams = points[: len(points) - GRAM + 1].copy()
     for i in range(1, GRAM):
         grams = (grams << np.uint64(21)) | points[i : len(points) - GRAM + 1 + i]
-    # Texts are set apart by spaces only, so a gram reaches at most one letter into the next text.
-    bounds = np.minimum(np.concatenate(([0], before[ends])), len(grams))
-    return grams, bounds
+    within = np.ones(len(points), bool)  # what starts at a part's last places would reach into the next
+    for back in range(1, GRAM):
+        within[np.maximum(ends[1:] - back, ends[:-1])[ends[1:] > ends[:-1]]] = False
+    bounds = np.concatenate(([0], np.cumsum(within)))[ends]
+    return grams[within[: len(grams)]], bounds
+
+
+def _last(part: str) -> str:
+    """The last GRAM - 1 characters of a part, with runs of non-letters as one space."""
+    found = ""
+    for char in reversed(part):
+        char = char if char.isalpha() else " "
+        if char != " " or not found.startswith(" "):
+            if len(found) == GRAM - 1:
+                break
+            found = char + found
+    return found
 
 
 def _pieces(texts: Sequence[str | None]) -> Iterator[tuple[list[int], list[str]]]:
-    """Groups of pieces of bounded total length, with the number of the text each belongs to."""
+    """Groups of pieces of bounded total length, with the number of the text each belongs to.
+
+    A text has one opening and one closing space; a piece starts with the last characters of the one before.
+    """
     owners: list[int] = []
     parts: list[str] = []
     held = 0
     for i, text in enumerate(texts):
-        for start in range(0, len(text or ""), PIECE):
-            part = text[max(0, start - GRAM + 1) : start + PIECE]
+        text = (text or "").lower()
+        part = " "
+        for start in range(0, len(text), PIECE):
+            part = (_last(part) if start else part) + text[start : start + PIECE]
+            if start + PIECE >= len(text):
+                part += " "
             owners.append(i)
             parts.append(part)
             held += len(part)

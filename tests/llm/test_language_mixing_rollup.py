@@ -39,6 +39,39 @@ def test_language_edges(spark, docs):
     assert {r.lang_pred for r in langid.predict(frame, nothing).collect()} == {"und"}
 
 
+def grams_by_hand(text):
+    letters = " ".join(["", *"".join(c if c.isalpha() else " " for c in text.lower()).split(), ""])
+    return sorted(letters[i : i + 3] for i in range(len(letters) - 2)) if letters.strip() else []
+
+
+def grams_found(texts):
+    found = [[] for _ in texts]
+    for owners, parts in langid._pieces(texts):
+        grams, bounds = langid._grams(parts)
+        for n, owner in enumerate(owners):
+            found[owner] += ["".join(chr(int(g) >> 21 * i & 0x1FFFFF) for i in (2, 1, 0)) for g in grams[bounds[n] : bounds[n + 1]]]
+    return [sorted(x) for x in found]
+
+
+def test_grams_stay_within_their_text(monkeypatch):
+    texts = ["This.", "der hund", "", None, "a", "!?", "x,  y", "ab", " İ'ΟΔΟΣ ", "zz" * 40, "..." * 30 + "end", "le" + "," * 60 + "la", "b" * 31 + " c" * 9]
+    for piece in (langid.PIECE, 1, 2, 3, 7, 32):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        assert grams_found(texts) == [grams_by_hand(t or "") for t in texts]
+        assert grams_found(texts[::-1]) == [grams_by_hand(t or "") for t in texts[::-1]]
+
+
+def test_language_is_the_same_alone_and_in_any_slice(spark, docs):
+    model = langid.learn(langid.training_rows(docs))
+    texts = ["This.", "der hund", "a", "y", "le", "No", "12", "que la", None] * 40
+    alone = [tuple(x[0] for x in langid.identify(model, [t])) for t in texts]
+    assert list(zip(*langid.identify(model, texts))) == alone
+    assert list(zip(*langid.identify(model, texts[::-1]))) == alone[::-1]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for frame in (rows.coalesce(1), rows.repartition(7), rows.orderBy(F.desc("doc_id"))):
+        assert [tuple(r)[1:] for r in sorted(langid.predict(frame, model).collect())] == alone
+
+
 def test_filters_return_all_languages_of_a_gram():
     """One look-up per gram; counts corrected for false positives stay near the true ones in a small, full filter."""
     rng = np.random.default_rng(0)
