@@ -140,7 +140,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.apply(2, token_rollup.changes(docs, token_rollup.REVISE, words))
     rollup.apply(3, token_rollup.changes(docs, token_rollup.INSERT, pieces))
     rollup.apply(2, token_rollup.changes(docs, token_rollup.REVISE, words))  # a batch sent twice counts once
-    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1 and doc_id is not null").select("doc_id").distinct()
     gone = toxic.withColumns({"source": F.lit(None), "lang": F.lit(None), "text": F.lit(None).cast("string")})
     rollup.apply(4, token_rollup.changes(gone, token_rollup.DELETE, words).unionAll(token_rollup.changes(gone, token_rollup.DELETE, pieces)))
     return rollup.totals()

@@ -6,15 +6,19 @@ nothing is ever recounted. A batch is committed by one rename-free step: its fol
 with Spark's success mark, a repeated batch number is not applied again, and a batch that failed
 half-way is written anew over its remains.
 
-The ledger (one row per live document and tokenizer version) is what makes a revised count or a
-delete additive: the old count is looked up there and taken off. Each batch stores the ledger rows
-that it set, with a mark for those it ended; the newest row of a document and version holds.
-
-Edge cases: null source, language, text or id form keys of their own (null-safe joins); a null or
-empty text has 0 tokens and counts as a document; several changes of one document and version in a
-batch: the last one in the given order holds, ties by the larger count; a delete or a revision of what is
-not there acts as nothing, or as an insert; empty batches commit and change nothing; extra columns
-are not read.
+The ledger is what makes a revised count or a delete additive: the old counts are looked up there and
+taken off. A document and tokenizer version can have several rows, since ids can be null or repeated;
+the ledger holds how many there are of each source, language and count. Each batch stores the rows that
+it added, marked if they replace all older rows of their document and version.
+
+An insert adds a row. A revision replaces all rows of a document and version by the rows given for it, a
+delete ends them all. Several changes of one document and version in a batch act in the given order; at
+one place of that order deletes go first, then revisions, then inserts.
+
+Edge cases: null source, language, text or id form keys of their own (null-safe joins); every row with a
+null id counts; a null or empty text has 0 tokens and counts as a document; a delete or a revision of
+what is not there acts as nothing, or as an insert; empty batches commit and change nothing; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 KEYS = ("source", "lang", "tokenizer")
 DOCUMENT = ("doc_id", "tokenizer")
 INSERT, REVISE, DELETE = "insert", "revise", "delete"
-LEDGER_SCHEMA = "doc_id long, tokenizer string, source string, lang string, n_tokens long, live boolean, batch long"
+LEDGER_SCHEMA = "doc_id long, tokenizer string, source string, lang string, n_tokens long, copies long, anew boolean, batch long"
 DELTA_SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 #: Tokenizer versions that SQL can state: runs of non-space characters; runs of letters or digits and single other signs.
@@ -53,6 +57,15 @@ def changes(docs: DataFrame, action: str, version: str, order: int = 0) -> DataF
     )
 
 
+def _beside(rows: DataFrame, others: DataFrame, how: str) -> DataFrame:
+    """Rows joined with `others` by document and tokenizer version, null or not."""
+    named = others.withColumnsRenamed({c: f"other_{c}" for c in DOCUMENT})
+    same = F.lit(True)
+    for c in DOCUMENT:
+        same = same & F.col(c).eqNullSafe(F.col(f"other_{c}"))
+    return rows.join(named, same, how).drop(*[f"other_{c}" for c in DOCUMENT])
+
+
 class TokenRollup:
     """A rollup stored under `path`: `deltas/batch=N` and `ledger/batch=N`, written once per batch."""
 
@@ -80,26 +93,32 @@ class TokenRollup:
         paths = [self._folder(kind, n) for n in batches]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def ledger(self) -> DataFrame:
-        """Live rows: one per document and tokenizer version."""
+    def _live(self) -> DataFrame:
+        """Ledger rows since the last batch that replaced or ended the rows of their document and version."""
         rows = self._read("ledger", LEDGER_SCHEMA, self.batches())
-        newest = F.max_by(F.struct("source", "lang", "n_tokens", "live"), "batch").alias("row")
-        return rows.groupBy(*DOCUMENT).agg(newest).filter("row.live").select(*DOCUMENT, "row.source", "row.lang", "row.n_tokens")
+        anew = rows.filter("anew").groupBy(*DOCUMENT).agg(F.max("batch").alias("since"))
+        found = _beside(rows, anew, "left").filter(F.col("since").isNull() | (F.col("batch") >= F.col("since")))
+        return found.filter("copies > 0").select(*DOCUMENT, "source", "lang", "n_tokens", "copies")
+
+    def ledger(self) -> DataFrame:
+        """Live rows: how many a document and tokenizer version has of each source, language and count."""
+        return self._live().groupBy(*DOCUMENT, "source", "lang", "n_tokens").agg(F.sum("copies").alias("copies"))
 
     def apply(self, batch: int, events: DataFrame) -> bool:
         """Commit a batch of changes; False if that batch is there already (nothing is done then)."""
         if batch in self.batches():
             return False
-        last = F.max_by(F.struct(*KEYS[:2], "n_tokens", "action"), F.struct("change_order", "n_tokens")).alias("new")
-        new = events.groupBy(*DOCUMENT).agg(last).select(*DOCUMENT, "new")
-        old = self.ledger().select(*[F.col(c).alias(f"old_{c}") for c in DOCUMENT], F.struct(*KEYS[:2], "n_tokens").alias("old"))
-        same = F.lit(True)
-        for c in DOCUMENT:
-            same = same & F.col(c).eqNullSafe(F.col(f"old_{c}"))
-        rows = new.join(old, same, "left")
+        place = F.struct("change_order").alias("place")  # null goes first
+        summed = events.groupBy(*DOCUMENT, "source", "lang", "n_tokens", "action", "change_order").agg(F.count(F.lit(1)).alias("n"))
+        turns = events.filter(F.col("action") != INSERT).select(*DOCUMENT, F.struct(place, (F.col("action") == REVISE).alias("revised")).alias("turn"))
+        last = turns.groupBy(*DOCUMENT).agg(F.max("turn").alias("turn"))
+        rows = _beside(summed, last, "left").withColumn("place", place)
+        added = (F.col("action") == INSERT) & (F.col("turn").isNull() | (F.col("place") >= F.col("turn.place")))
+        set_now = (F.col("action") != INSERT) & (F.col("place") == F.col("turn.place")) & ((F.col("action") == REVISE) == F.col("turn.revised"))
         (
-            rows.filter((F.col("new.action") != DELETE) | F.col("old").isNotNull())
-            .select(*DOCUMENT, "new.source", "new.lang", "new.n_tokens", (F.col("new.action") != DELETE).alias("live"), F.lit(batch).cast("long").alias("batch"))
+            rows.filter(added | set_now)
+            .select(*DOCUMENT, "source", "lang", "n_tokens", F.when(F.col("action") == DELETE, 0).otherwise(F.col("n")).cast("long").alias("copies"),
+                    F.col("turn").isNotNull().alias("anew"), F.lit(batch).cast("long").alias("batch"))
             .write.mode("overwrite").parquet(self._folder("ledger", batch))
         )
         self._write_deltas(batch)
@@ -107,12 +126,11 @@ class TokenRollup:
 
     def _write_deltas(self, batch: int) -> None:
         """Signed sums of a batch, from its ledger rows and the rows that they replace."""
-        set_now = self.spark.read.schema(LEDGER_SCHEMA).parquet(self._folder("ledger", batch))
-        before = self.ledger()
-        signed = set_now.filter("live").select(*KEYS, F.lit(1).cast("long").alias("n_docs"), "n_tokens")
+        rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(self._folder("ledger", batch))
+        signed = rows.filter("copies > 0").select(*KEYS, F.col("copies").alias("n_docs"), (F.col("copies") * F.col("n_tokens")).alias("n_tokens"))
         if self.batches():
-            gone = before.alias("b").join(set_now.select(*[F.col(c).alias(f"now_{c}") for c in DOCUMENT]), F.col("doc_id").eqNullSafe(F.col("now_doc_id")) & F.col("tokenizer").eqNullSafe(F.col("now_tokenizer")), "left_semi")
-            signed = signed.unionAll(gone.select(*KEYS, F.lit(-1).cast("long"), -F.col("n_tokens")))
+            gone = _beside(self._live(), rows.filter("anew").select(*DOCUMENT), "left_semi")
+            signed = signed.unionAll(gone.select(*KEYS, -F.col("copies"), -F.col("copies") * F.col("n_tokens")))
         sums = signed.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         sums.write.mode("overwrite").parquet(self._folder("deltas", batch))
 

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastecore.llm import langid, mixing, token_rollup
-from tastecore.llm.queries import mix_domain
+from oracle import connect, difference
+from tastecore.llm.queries import ORACLES, QUERIES, mix_domain
 
 SF = "/root/testdata/sf0.01"
 
@@ -171,3 +172,32 @@ def test_half_written_batch_is_done_anew(spark, tmp_path):
     (tmp_path / "rollup/deltas/batch=1/_SUCCESS").unlink()
     assert rollup.batches() == [] and rollup.totals().collect() == []
     assert rollup.apply(1, events) and [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v1", 1, 5)]
+
+
+def test_token_counts_keep_null_and_repeated_ids(spark, tmp_path):
+    texts = ["a b c", "a b c", None, "", "d, e!", "le la"]
+    docs = [(i, t, len(t or ""), s, lang) for i in (None, 1, 2, 3) for t in texts for s, lang in (("web", "en"), (None, None), ("web", "de"))]
+    docs += [(7, "one", 3, "web", "en"), (8, "one", 3, "web", "en"), (None, "one", 3, "web", "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, n_chars long, source string, lang string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    spark.createDataFrame([(2, 1), (2, 1), (8, 1), (9, 1), (None, 1), (1, 0), (3, None)], "doc_id long, toxic long").write.parquet(str(tmp_path / "lab"))
+    (tmp_path / "sf").mkdir()
+    for name, folder in (("documents", "docs"), ("labels", "lab")):
+        spark.read.parquet(str(tmp_path / folder)).toPandas().astype({"doc_id": "Int64"}).to_parquet(tmp_path / f"sf/{name}.parquet")
+    con = connect(str(tmp_path / "sf"))
+    found = QUERIES["op10_token_counts"](spark, str(tmp_path / "sf"))
+    assert difference(found, con, ORACLES["op10_token_counts"]) is None
+    assert sum(r.n_docs for r in found.collect()) == 2 * (len(docs) - 18 - 1)
+
+
+def test_inserts_add_rows_and_changes_act_on_all_of_them(spark, tmp_path):
+    rollup = token_rollup.TokenRollup(spark, str(tmp_path / "rollup"))
+    batches = [
+        ([(1, 5, "insert", 0), (1, 5, "insert", 0), (None, 3, "insert", 0), (None, 4, "insert", 1)], (4, 17)),
+        ([(None, 3, "insert", 0), (1, 6, "insert", 0)], (6, 26)),
+        ([(1, 7, "revise", 0), (1, 8, "revise", 0)], (5, 25)),
+        ([(None, 0, "delete", 0), (1, 2, "delete", 1), (1, 9, "insert", 0), (1, 1, "insert", 2), (2, 0, "delete", 0)], (1, 1)),
+        ([(1, 0, "delete", 0), (1, 3, "revise", 0), (1, 3, "insert", 0)], (2, 6)),
+    ]
+    for number, (events, want) in enumerate(batches):
+        rollup.apply(number, spark.createDataFrame([(i, "v1", "a", "en", n, action, order) for i, n, action, order in events], EVENTS))
+        assert [tuple(r)[3:] for r in rollup.totals().collect()] == [want]
