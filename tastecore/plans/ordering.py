@@ -24,14 +24,15 @@ CHUNK, POSITION = "_chunk", "_position"
 ROW_BITS = 33
 
 
-def _sorted_chunks(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def sorted_chunks(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Rows range sorted and staged, with POSITION (rising; not without gaps) and CHUNK, the sort partition."""
     numbered = df.orderBy(*order).withColumn(POSITION, F.monotonically_increasing_id())
     return stage(numbered, "sorted").withColumn(CHUNK, F.shiftright(POSITION, ROW_BITS))
 
 
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """Row number from 0 in the given total order."""
-    chunks = _sorted_chunks(df, order)
+    chunks = sorted_chunks(df, order)
     # One row per sort partition, so this window is bounded by the partition count.
     before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
@@ -59,7 +60,7 @@ def running_totals(
     `order` is the order inside a group and has to be total there.
     """
     by = list(by)
-    chunks = _sorted_chunks(df, [*by, *order])
+    chunks = sorted_chunks(df, [*by, *order])
     inside = (
         Window.partitionBy(*by, CHUNK)
         .orderBy(POSITION)
