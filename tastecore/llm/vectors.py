@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def usable(table: DataFrame, with_zero: bool = True) -> DataFrame:
-    """(vec_id, vector array<double>) of the rows whose vectors can be compared.
+def usable(table: DataFrame, with_zero: bool = True, also: Sequence[str] = ()) -> DataFrame:
+    """(vec_id, vector array<double>) and the columns `also` of the rows whose vectors can be compared.
 
     Left out: null ids or vectors, vectors with a null, NaN or infinite component, zero vectors unless
     `with_zero`, and vectors of another length than the most frequent one (the longer, if equally frequent).
     """
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), *also)
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite)
     if not with_zero:
