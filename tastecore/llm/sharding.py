@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastecore.plans.ordering import CHUNK, POSITION, sorted_chunks
+from tastecore.plans.staging import stage
 
 DIGITS = 13
 
@@ -83,5 +84,7 @@ def shard_documents(docs: DataFrame, weights: Mapping[int, float], grown: Mappin
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"),
     )
-    placed = with_slots(with_shards(rows, "doc_id", weights, grown), ["doc_id", "size", "text_crc32"])
+    # Stored, as the range sort reads them twice: the texts are read and the keys scored once.
+    sharded = stage(with_shards(rows, "doc_id", weights, grown), "sharded")
+    placed = with_slots(sharded, ["doc_id", "size", "text_crc32"])
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
