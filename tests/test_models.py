@@ -170,12 +170,40 @@ def test_recommendations_are_ranked_and_cold_pairs_dropped(spark, ratings):
     rows = recommend.recommend_rows(model, users, 4).orderBy("user", "position").collect()
     assert {u: [r["item"] for r in rows if r["user"] == u] for u in (1, 2)} == lists
     assert all(len(set(v)) == 4 for v in lists.values())
+    factors = {r["id"]: np.array(r["features"], float) for r in model.userFactors.collect()}
+    songs = {r["id"]: np.array(r["features"], float) for r in model.itemFactors.collect()}
+    for r in rows:
+        best = sorted((-float(factors[r["user"]] @ x), i) for i, x in songs.items())[r["position"] - 1]
+        assert r["item"] == best[1] and r["score"] == pytest.approx(-best[0], rel=1e-12)
     cold = spark.createDataFrame([(1, 1, 2.0), (999, 1, 2.0)], "user int, item int, rating double")
     predicted = recommend.predict_ratings(model, cold)
     assert predicted.filter(F.isnan("prediction")).count() == 1
     assert metrics.rmse(predicted).head()["rmse"] is not None
 
 
+@pytest.mark.parametrize("first_items", [1, 7, 500])
+def test_best_products_equal_all_products(spark, first_items):
+    """Ties, zero and negative scores, users without enough items, repeated factors, an item without any length."""
+    draw = np.random.default_rng(first_items)
+    items = [(i, [float(x) for x in draw.choice([-1.0, 0.0, 0.5, draw.normal() * 3], 4)]) for i in range(300)] + [(400, [0.0] * 4), (401, [9.0] * 4), (402, [9.0] * 4)]
+    users = [(u, [float(x) for x in draw.normal(size=4)]) for u in range(6)] + [(7, [0.0] * 4), (8, [-1.0] * 4)]
+    schema = "id int, features array<float>"
+    table = spark.createDataFrame(items, schema).repartition(5)
+    found = recommend.best_products(spark.createDataFrame(users, schema), table, 6, first_items)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+    single = lambda v: np.array(v, np.float32).astype(float)
+    for user, own in users:
+        want = sorted((-sum(a * b for a, b in zip(single(own), single(x))), i) for i, x in items)[:6]
+        rows = sorted((r["position"], r["item"], r["score"]) for r in found.filter(F.col("user") == user).collect())
+        assert [(p, i) for p, i, _ in rows] == [(p, i) for p, (_, i) in enumerate(want, 1)]
+        assert [s for *_, s in rows] == pytest.approx([-s for s, _ in want], abs=1e-12)
+    few = recommend.best_products(spark.createDataFrame(users, schema), table.filter("id < 3"), 6)
+    assert few.count() == 3 * len(users)
+    assert recommend.best_products(spark.createDataFrame([], schema), table, 6).count() == 0
+    assert recommend.best_products(spark.createDataFrame(users, schema), table.limit(0), 6).count() == 0
+
+
 def test_recommendation_experiment(spark):
     draw = np.random.default_rng(4)
     cells = {(int(u), int(s)) for u, s in zip(draw.integers(0, 50, 3000), draw.integers(0, 60, 3000))}
