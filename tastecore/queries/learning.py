@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastecore.functions import binary_label
-from tastecore.operators import classify, density, features, metrics, recommend, relational, sampling, svm
+from tastecore.operators import classify, density, features, kernel_svm, metrics, newton_svm, recommend, relational, sampling
 from tastecore.plans import flows
 from tastecore.plans.staging import stage
 from tastecore.queries.registry import query
@@ -181,7 +181,7 @@ def _pair(rows: DataFrame, positions: tuple[int, int]) -> tuple[DataFrame, list[
 def linear_svm_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _pair(_lines(spark, sf_dir), (2, 1))
     first = rows.withColumn("label", binary_label("label", 0.0))
-    return metrics.binary_metrics(svm.linear_svm(first).transform(first))
+    return metrics.binary_metrics(newton_svm.squared_hinge_svm(first).transform(first))
 
 
 @query("linear_svm_multiclass")
@@ -189,7 +189,7 @@ def linear_svm_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = []
     for positions in ((2, 1), (0, 1)):
         rows, cols = _pair(_lines(spark, sf_dir), positions)
-        model = svm.linear_svm(rows, multiclass=True)
+        model = newton_svm.squared_hinge_svm(rows, multiclass=True)
         found.append(
             metrics.multiclass_metrics(model.transform(rows)).withColumn("pair", F.lit(" x ".join(cols)))
         )
@@ -199,8 +199,8 @@ def linear_svm_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rbf_svm")
 def rbf_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, cols = _pair(_lines(spark, sf_dir), (2, 3))
-    model = svm.rbf_svm(rows.drop("features"), cols)
-    return metrics.multiclass_metrics(model.transform(rows.drop("features")))
+    model = kernel_svm.kernel_svm(rows, cols)
+    return metrics.multiclass_metrics(model.transform(rows))
 
 
 @query(
@@ -221,9 +221,26 @@ def logistic_multinomial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("decision_surface")
 def decision_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, cols = _pair(_lines(spark, sf_dir), (2, 3))
-    model = classify.classifier("logistic", features="features", family="multinomial").fit(rows)
-    return classify.decision_surface(model, density.mesh_grid(rows, *cols, h=0.01), cols)
+    """Predicted class on every mesh point for five models: a linear one for class 0, two linear ones for all classes
+    on different columns, the kernel machine, and multinomial logistic regression."""
+    lines, found = _lines(spark, sf_dir), []
+    narrow, wide = (2, 3), (0, 2)  # discount x tax; quantity x discount
+    for name, positions, h in (
+        ("linear_svm_binary", narrow, 0.01), ("linear_svm_multiclass", narrow, 0.01), ("linear_svm_multiclass", wide, 0.05),
+        ("rbf_svm", narrow, 0.01), ("logistic_multinomial", narrow, 0.01),
+    ):
+        rows, cols = _pair(lines, positions)
+        if name == "linear_svm_binary":
+            model = newton_svm.squared_hinge_svm(rows.withColumn("label", binary_label("label", 0.0)))
+        elif name == "linear_svm_multiclass":
+            model = newton_svm.squared_hinge_svm(rows, multiclass=True)
+        elif name == "rbf_svm":
+            model = kernel_svm.kernel_svm(rows, cols)
+        else:
+            model = classify.classifier("logistic", features="features", family="multinomial", regParam=1.0 / rows.count(), standardization=False).fit(rows)
+        surface = classify.decision_surface(model, density.mesh_grid(rows, *cols, h=h), cols)
+        found.append(surface.select(F.lit(name).alias("model"), F.lit(" x ".join(cols)).alias("pair"), F.col(cols[0]).alias("x"), F.col(cols[1]).alias("y"), "prediction"))
+    return relational.union_all(found)
 
 
 # --- recommendation --------------------------------------------------------------
