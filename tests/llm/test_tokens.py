@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -28,12 +29,23 @@ def expected_ids(path, text, end):
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_encoder_equals_library(path, monkeypatch):
     monkeypatch.setattr("tastecore.llm.token_ids.REMEMBERED", 200)
+    monkeypatch.setattr("tastecore.llm.token_ids.BLOCK_BYTES", 2000)
     rng, ours = random.Random(3), Encoder(path)
     texts = [None] + ["".join(rng.choice(SIGNS) for _ in range(rng.randrange(16))) for _ in range(4000)]
     for text, ids in zip(texts, ours.encode(texts)):
         assert ids.tolist() == ours.tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_long_and_real_texts_equal_library(path, monkeypatch):
+    monkeypatch.setattr("tastecore.llm.token_ids.BLOCK_BYTES", 300)
+    docs = duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' LIMIT 300").fetchall()
+    texts = [t for (t,) in docs] + ["  ".join(t for (t,) in docs[:20] if t), "", None, "no cut" * 500, " \n" * 700, "a.\n\n b,\n" * 200]
+    ours = Encoder(path)
+    for text, ids in zip(texts, ours.encode(texts), strict=True):
+        assert ids.tolist() == ours.tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)[:200]
+
+
 @pytest.mark.parametrize("distinct", [0, 1, 2, 3, 100, 70_000])
 def test_wavelet_matrix(distinct):
     rng = np.random.default_rng(distinct)
