@@ -156,26 +156,33 @@ class LicenseMatcher:
                 matches[number].append((end - length, end, place))
 
     def _chain(self, number: int, found: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Matches that follow each other in text and template, a few words apart at most, as spans."""
-        spans = []
-        chain: list[tuple[int, int, int]] = []
-
-        def close() -> None:
-            covered: set[int] = set()
-            for start, end, place in chain:
-                covered.update(range(place - (end - start), place))
-            if chain and len(covered) >= self.least_cover * self.sizes[number]:
-                spans.append((self.labels[number], chain[0][0], chain[-1][1], len(covered) / self.sizes[number]))
-
-        for start, end, place in sorted(found):
-            if chain and (start - chain[-1][1] > self.gap or place <= chain[-1][2]):
-                if start < chain[-1][1] and end <= chain[-1][1]:
-                    continue  # another place of a stretch that the chain holds already
-                close()
-                chain = []
-            chain.append((start, end, place))
-        close()
-        return spans
+        """Spans from matches (start, end, template end) that follow each other in text and template, a few words apart at most.
+
+        The chain that covers most of the template ends at each match, by dynamic programming over text and template
+        places; the best chains that cover enough and don't overlap are spans.
+        """
+        found = sorted(set(found), key=lambda m: (m[1], m[2], m[0]))
+        best: list[int] = []
+        first: list[int] = []
+        for i, (start, end, place) in enumerate(found):
+            begin = place - (end - start)
+            cover, origin = place - begin, start
+            for j in range(i - 1, -1, -1):
+                if found[j][1] < start - self.gap:
+                    break
+                if found[j][0] < start and found[j][2] < place:
+                    more = best[j] + place - max(begin, found[j][2])
+                    if (more, first[j]) > (cover, origin):
+                        cover, origin = more, first[j]
+            best.append(cover)
+            first.append(origin)
+        spans: list[tuple[str, int, int, float]] = []
+        for i in sorted(range(len(found)), key=lambda i: (-best[i], found[i][1])):
+            if best[i] < self.least_cover * self.sizes[number]:
+                break
+            if all(found[i][1] <= a or first[i] >= b for _, a, b, _ in spans):
+                spans.append((self.labels[number], first[i], found[i][1], best[i] / self.sizes[number]))
+        return sorted(spans, key=lambda s: s[1])
 
 
 @functools.cache

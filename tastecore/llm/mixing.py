@@ -10,7 +10,9 @@ solution meets them in any metric. One step needs K + K (K + 1) / 2 sums over al
 document's rate follows from its posteriors and the steps' g alone, so the steps are kept, not the rates.
 
 Edge cases: a null text is an empty one, with 0 tokens; it gets a rate but adds nothing. Labels that are null
-or name no document teach nothing. Without any labelled text, or without tokens, every rate is 1. A
+or name no document teach nothing. A domain that is labelled but has no text in `docs` has posterior 0 and can't be asked
+for: its weight goes to the others in proportion. Targets that non-negative rates can't meet leave a `residual`, stated
+with `converged` next to the rates. Without any labelled text, or without tokens, every rate is 1. A
 single domain has posterior 1. Repeated rows are documents of their own. Extra columns are passed by.
 """
 
@@ -36,8 +38,11 @@ TOKENS, POSTERIORS = "_mix_tokens", "_mix_posteriors"
 
 @dataclass(frozen=True)
 class DomainClassifier:
+    """`learned`: the places of the domains that had text, in the order of the model's classes."""
+
     domains: tuple[str, ...]
     model: PipelineModel | None
+    learned: tuple[int, ...] = ()
 
 
 def _words(text: Column) -> Column:
@@ -64,9 +69,10 @@ def learn_domains(
     # Broadcast bound: about rows_per_domain rows of each domain.
     text = docs.filter("text is not null").select("doc_id", _words(F.col("text")).alias(WORDS))
     sample = stage(text.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select(WORDS, "label"), "labelled")
-    seen = [r["label"] for r in sample.select("label").distinct().collect()]
-    if len(seen) < 2:
-        return DomainClassifier(tuple(domains[int(i)] for i in seen), None)
+    learned = tuple(sorted(int(r["label"]) for r in sample.select("label").distinct().collect()))
+    if len(learned) < 2:
+        return DomainClassifier(domains if learned else (), None, learned)
+    places = F.create_map(*[F.lit(x) for place, i in enumerate(learned) for x in (float(i), float(place))])
     steps = [
         HashingTF(inputCol=WORDS, outputCol=COUNTS, numFeatures=features),
         Normalizer(inputCol=COUNTS, outputCol=SHARES, p=1.0),
@@ -75,7 +81,7 @@ def learn_domains(
             rawPredictionCol=RAW, probabilityCol=PROBABILITY, predictionCol=BEST,
         ),
     ]
-    return DomainClassifier(domains, Pipeline(stages=steps).fit(sample))
+    return DomainClassifier(domains, Pipeline(stages=steps).fit(sample.withColumn("label", places[F.col("label")])), learned)
 
 
 def with_posteriors(docs: DataFrame, classifier: DomainClassifier) -> DataFrame:
@@ -83,16 +89,22 @@ def with_posteriors(docs: DataFrame, classifier: DomainClassifier) -> DataFrame:
     tokens = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("double")
     docs = docs.withColumn(TOKENS, tokens)
     if classifier.model is None:
-        return docs.withColumn(POSTERIORS, F.array(*[F.lit(1.0) for _ in classifier.domains]).cast("array<double>"))
+        ones = [F.lit(1.0 if i in classifier.learned else 0.0) for i in range(len(classifier.domains))]
+        return docs.withColumn(POSTERIORS, F.array(*ones).cast("array<double>"))
     scored = classifier.model.transform(docs.withColumn(WORDS, _words(F.col("text"))))
-    return scored.withColumn(POSTERIORS, vector_to_array(PROBABILITY)).drop(WORDS, COUNTS, SHARES, RAW, PROBABILITY, BEST)
+    known = F.transform(
+        F.array(*[F.lit(classifier.learned.index(i) if i in classifier.learned else -1) for i in range(len(classifier.domains))]),
+        lambda place: F.when(place >= 0, F.get(SHARES, place)).otherwise(0.0),
+    )
+    return scored.withColumn(SHARES, vector_to_array(PROBABILITY)).withColumn(POSTERIORS, known).drop(WORDS, COUNTS, SHARES, RAW, PROBABILITY, BEST)
 
 
 @dataclass(frozen=True)
 class Rates:
     start: float
     steps: tuple[tuple[float, ...], ...]
-    residual: tuple[float, ...]
+    residual: tuple[float, ...]  # of each domain, as a share of all tokens
+    converged: bool = True
 
     def column(self) -> Column:
         """The rate of a row with posteriors."""
@@ -124,16 +136,17 @@ def solve(scored: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, most:
         residual = (np.array([row[f"e{k}"] for k in range(size)]) - targets) / total
         error = float(np.abs(residual).max())
         if error <= tolerance or len(steps) == most:
-            return Rates(start, tuple(steps), tuple(float(x) for x in residual))
+            return Rates(start, tuple(steps), tuple(float(x) for x in residual), error <= tolerance)
         gram = np.array([[row[f"m{min(i, j)}_{max(i, j)}"] for j in range(size)] for i in range(size)]) / total
         length = 1.0 if error < before else 0.5  # rows that come back above 0 can make a step too long
         steps.append(tuple(float(x) for x in length * np.linalg.solve(gram + 1e-9 * np.eye(size), residual)))
         before = error
 
 
-def _target_tokens(weights: Mapping[str, float], domains: tuple[str, ...], budget: float) -> np.ndarray:
-    wanted = np.array([weights.get(d, 0.0) for d in domains])
-    return budget * wanted / wanted.sum() if wanted.sum() else np.zeros(len(domains))
+def _target_tokens(weights: Mapping[str, float], classifier: DomainClassifier, budget: float) -> np.ndarray:
+    """The domains that were learned share the budget."""
+    wanted = np.array([weights.get(d, 0.0) if i in classifier.learned else 0.0 for i, d in enumerate(classifier.domains)])
+    return budget * wanted / wanted.sum() if wanted.sum() else np.zeros(len(wanted))
 
 
 def find_rates(scored: DataFrame, classifier: DomainClassifier, weights: Mapping[str, float], share: float) -> Rates:
@@ -142,16 +155,20 @@ def find_rates(scored: DataFrame, classifier: DomainClassifier, weights: Mapping
     `weights` are the domains' parts of the mix; domains without a weight are to get no tokens.
     """
     total = scored.agg(F.sum(TOKENS)).head()[0] or 0.0
-    return solve(scored, _target_tokens(weights, classifier.domains, share * total))
+    return solve(scored, _target_tokens(weights, classifier, share * total))
 
 
 def document_rates(docs: DataFrame, classifier: DomainClassifier, weights: Mapping[str, float], share: float) -> DataFrame:
-    """doc_id, n_tokens, posteriors, rate and copies (the rate rounded up or down by a hash of doc_id)."""
+    """doc_id, n_tokens, posteriors, rate, copies (the rate rounded up or down by a hash of doc_id), residual and converged:
+    the largest share of the tokens by which a domain misses its target, and whether that is within the tolerance."""
     scored = stage(with_posteriors(docs.select("doc_id", "text"), classifier).select("doc_id", TOKENS, POSTERIORS), "posteriors")
     rates = find_rates(scored, classifier, weights, share)
     return scored.select(
         "doc_id", F.col(TOKENS).cast("long").alias("n_tokens"), F.col(POSTERIORS).alias("posteriors"), rates.column().alias("rate")
-    ).withColumn("copies", _copies(F.col("rate"), F.col("doc_id")))
+    ).withColumns({
+        "copies": _copies(F.col("rate"), F.col("doc_id")),
+        "residual": F.lit(max((abs(x) for x in rates.residual), default=0.0)), "converged": F.lit(rates.converged),
+    })
 
 
 def _copies(rate: Column, key: Column) -> Column:

@@ -281,10 +281,17 @@ def similar_documents(docs: DataFrame, width: int = 4, percent: int = 85) -> Dat
 
 
 def one_of_each(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """The rows of `docs` that stand for their group: those with its smallest doc_id, once per doc_id.
+    """The rows of `docs` that stand for their group: of those with its smallest doc_id, one of each text.
 
-    Rows without a doc_id stay, as nothing can name them.
+    Different texts that share a doc_id are all kept, as their links can't be told apart; rows without a doc_id stay, as
+    nothing can name them.
     """
     keep = similar_documents(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Repeated rows differ in other columns at most: the smallest stands for them, whatever the partitioning.
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = docs.join(keep, "doc_id", "left_semi")
+    single = named.groupBy("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_text"), F.isnull("text").alias("_null"))
+    # One text, and rows that differ only in small columns, for each key.
+    chosen = single.agg(F.min(F.struct("text", *rest)).alias("_row")) if all(t != "map" and not t.startswith("map") for _, t in docs.dtypes) else single.agg(F.first(F.struct("text", *rest)).alias("_row"))
+    named = chosen.select("doc_id", "_row.*")
     return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))

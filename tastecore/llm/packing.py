@@ -146,7 +146,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048)
     totals = {r["length"]: r["n"] for r in shifts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = [(r.length, r.first, r.first + r.pieces, r.bin, r.each, r.offset) for r in best_fit_decreasing(totals, capacity)]
     runs = spark.createDataFrame(plan, "length int, run_first long, run_end long, bin long, each long, base long")
-    numbered = made.join(shifts.drop("n"), ["part", "length"]).withColumn("number", F.col("number") + F.col("shift"))
+    # One row per partition and length: it grows with the corpus, so it is not sent to every task.
+    numbered = made.join(shifts.drop("n").hint("merge"), ["part", "length"]).withColumn("number", F.col("number") + F.col("shift"))
     # Broadcast bound: a length either uses up runs of open bins or ends in one, and adds three at most,
     # so there are no more than 4 * capacity runs in all.
     placed = numbered.join(F.broadcast(runs), "length").filter("number >= run_first and number < run_end")

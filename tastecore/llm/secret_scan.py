@@ -4,7 +4,8 @@ Kinds, in this order: `assign` (a value given to a name such as password or toke
 (access key ids), `hex` (long lower-case hex strings), and `entropy`: a candidate is a run of token
 characters; over each of its runs of one character class a window slides whose character counts
 are updated by one step in and one step out, and windows at or above the class's entropy are
-joined into spans. Candidates on the allow list give no entropy span; pattern spans always stay.
+joined into spans. The allow list silences what it names and nothing beside it: whole candidates such as UUIDs, and parts
+of others, such as a host name or a file's ending; pattern spans always stay.
 
 Edge cases: a null text is an empty one and has no spans; each repeated row is answered; texts are
 scanned whole, whatever their length; null ids are passed on. Only doc_id and text are read.
@@ -32,47 +33,43 @@ ASSIGN_HINTS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
-#: Character class, window length, least bits per character.
+#: Character class, window length, least bits per character, and a sign that has to make up some of a window, but not all.
 CLASSES = (
-    (re.compile(r"[0-9a-fA-F]{20,}"), 20, 2.9),
-    (re.compile(r"[A-Za-z0-9]{20,}"), 20, 3.6),
-    (re.compile(r"[A-Za-z0-9+/_=-]{24,}"), 24, 3.9),
+    (re.compile(r"[0-9a-fA-F]{20,}"), 20, 2.9, str.isdigit, 2),
+    (re.compile(r"[A-Za-z0-9]{20,}"), 20, 3.6, str.isdigit, 2),
+    (re.compile(r"[A-Za-z0-9+/_=-]{24,}"), 24, 3.9, str.isdigit, 2),
+    (re.compile(r"[A-Za-z]{32,}"), 32, 4.2, str.isupper, 9),
 )
-#: Whole candidates that are no secrets: UUIDs, dates and versions, file and host names, rulers and counters.
-ALLOWED = tuple(
-    re.compile(p)
-    for p in (
-        r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-        r"[0-9.+/_=-]+",
-        r"(?i:(https?|www)[./].*)",
-        r"(?i:.*\.(com|org|net|html?|txt|pdf|png|jpe?g|py|js|json))",
-        r"(?i:.*(example|placeholder|changeme|xxxx).*)",
-        r"(?i:.*(abcdefghij|0123456789).*)",
-    )
+#: Whole candidates that are no secrets: UUIDs, dates and versions.
+ALLOWED = (re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"), re.compile(r"[0-9.+/_=-]+"))
+#: Parts of candidates that are no secrets: host names, endings of files, rulers, fillers and counters.
+ALLOWED_PART = re.compile(
+    r"(?i:(?<![a-z0-9-])(?:[a-z0-9-]{1,30}\.)+(?:com|org|net)(?![a-z0-9])|\.(?:html?|txt|pdf|png|jpe?g|py|js|json)(?![a-z0-9])"
+    r"|(?:https?|www)[./]|example|placeholder|changeme|x{4,}|abcdefghij[a-z]*|0123456789|a1b2c3[a-z0-9]*)"
 )
 
 Span = tuple[int, int, int]  # start, kind, end
 
 
-def _windows(text: str, width: int, least: float) -> Iterator[tuple[int, int]]:
-    """Joined windows of `text` whose entropy is at least `least` and that hold digits and letters."""
+def _windows(text: str, width: int, least: float, sign=str.isdigit, some: int = 2) -> Iterator[tuple[int, int]]:
+    """Joined windows of `text` whose entropy is at least `least`, with `some` characters or more that are a `sign`, and that aren't."""
     counts: Counter[str] = Counter()
-    weight = digits = 0
+    weight = signs = 0
     begin = end = -1
     log = [0.0] + [n * math.log2(n) for n in range(1, width + 1)]
     total = 0.0  # sum of n * log2(n) over the character counts
     for place, new in enumerate(text):
         total += log[counts[new] + 1] - log[counts[new]] if counts[new] < width else 0.0
         counts[new] += 1
-        digits += new.isdigit()
+        signs += sign(new)
         weight += 1
         if weight > width:
             old = text[place - width]
             total -= log[counts[old]] - log[counts[old] - 1] if counts[old] <= width else 0.0
             counts[old] -= 1
-            digits -= old.isdigit()
+            signs -= sign(old)
             weight -= 1
-        if weight == width and 2 <= digits <= width - 2 and math.log2(width) - total / width >= least:
+        if weight == width and some <= signs <= width - some and math.log2(width) - total / width >= least:
             start = place - width + 1
             if begin >= 0 and start > end:
                 yield begin, end
@@ -98,12 +95,13 @@ def entropy_spans(text: str, taken: Sequence[Span] = ()) -> list[Span]:
     found: list[tuple[int, int]] = []
     for candidate in CANDIDATE.finditer(text):
         string = candidate[0]
-        if not any(map(str.isdigit, string)) or any(p.fullmatch(string) for p in ALLOWED):
+        if any(p.fullmatch(string) for p in ALLOWED):
             continue
-        for runs, width, least in CLASSES:
+        string = ALLOWED_PART.sub(lambda m: "." * len(m[0]), string)
+        for runs, width, least, sign, some in CLASSES:
             for run in runs.finditer(string):
                 shift = candidate.start() + run.start()
-                found += [(shift + a, shift + b) for a, b in _windows(run[0], width, least)]
+                found += [(shift + a, shift + b) for a, b in _windows(run[0], width, least, sign, some)]
     joined: list[tuple[int, int]] = []
     for start, end in sorted(found):
         if joined and start <= joined[-1][1]:

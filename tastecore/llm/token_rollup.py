@@ -9,7 +9,9 @@ half-way is written anew over its remains.
 The ledger is what makes a revised count or a delete additive: the old counts are looked up there and
 taken off. A document and tokenizer version can have several rows, since ids can be null or repeated;
 the ledger holds how many there are of each source, language and count. Each batch stores the rows that
-it added, marked if they replace all older rows of their document and version.
+it added, marked if they replace all older rows of their document and version. Older means committed before: batches
+act in the order of their commits, whatever their numbers. `compact` writes the live rows of all batches so far as one table,
+from which on only newer batches are read beside it.
 
 An insert adds a row. A revision replaces all rows of a document and version by the rows given for it, a
 delete ends them all. Several changes of one document and version in a batch act in the given order; at
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 KEYS = ("source", "lang", "tokenizer")
 DOCUMENT = ("doc_id", "tokenizer")
 INSERT, REVISE, DELETE = "insert", "revise", "delete"
-LEDGER_SCHEMA = "doc_id long, tokenizer string, source string, lang string, n_tokens long, copies long, anew boolean, batch long"
+LEDGER_SCHEMA = "doc_id long, tokenizer string, source string, lang string, n_tokens long, copies long, anew boolean, turn long"
 DELTA_SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 #: Tokenizer versions that SQL can state: runs of non-space characters; runs of letters or digits and single other signs.
@@ -95,30 +97,54 @@ class TokenRollup:
 
     def _live(self) -> DataFrame:
         """Ledger rows since the last batch that replaced or ended the rows of their document and version."""
-        rows = self._read("ledger", LEDGER_SCHEMA, self.batches())
-        anew = rows.filter("anew").groupBy(*DOCUMENT).agg(F.max("batch").alias("since"))
-        found = _beside(rows, anew, "left").filter(F.col("since").isNull() | (F.col("batch") >= F.col("since")))
+        base, covered = self._base()
+        rows = self._read("ledger", LEDGER_SCHEMA, [n for n in self.batches() if n not in covered])
+        rows = rows if base is None else rows.unionByName(base)
+        anew = rows.filter("anew").groupBy(*DOCUMENT).agg(F.max("turn").alias("since"))
+        found = _beside(rows, anew, "left").filter(F.col("since").isNull() | (F.col("turn") >= F.col("since")))
         return found.filter("copies > 0").select(*DOCUMENT, "source", "lang", "n_tokens", "copies")
 
+    def _base(self) -> tuple[DataFrame | None, set[int]]:
+        """The newest compacted ledger, and the batches that it covers."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/base")
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+        for turn in sorted((int(n.split("=")[1]) for n in names), reverse=True):
+            folder = f"{self.path}/base/turn={turn}"
+            if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/batches/_SUCCESS")):
+                covered = {r["batch"] for r in self.spark.read.schema("batch long").parquet(f"{folder}/batches").collect()}
+                return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{folder}/rows"), covered
+        return None, set()
+
+    def compact(self) -> None:
+        """Write the live rows of all committed batches as one table; the list of the batches, written last, commits it."""
+        numbers = self.batches()
+        folder = f"{self.path}/base/turn={len(numbers)}"
+        rows = self.ledger().select("*", F.lit(False).alias("anew"), F.lit(0).cast("long").alias("turn"))
+        if numbers and len(numbers) != len(self._base()[1]):
+            rows.write.mode("overwrite").parquet(f"{folder}/rows")
+            self.spark.createDataFrame([(n,) for n in numbers], "batch long").write.mode("overwrite").parquet(f"{folder}/batches")
+
     def ledger(self) -> DataFrame:
         """Live rows: how many a document and tokenizer version has of each source, language and count."""
         return self._live().groupBy(*DOCUMENT, "source", "lang", "n_tokens").agg(F.sum("copies").alias("copies"))
 
     def apply(self, batch: int, events: DataFrame) -> bool:
         """Commit a batch of changes; False if that batch is there already (nothing is done then)."""
-        if batch in self.batches():
+        committed = self.batches()
+        if batch in committed:
             return False
         place = F.struct("change_order").alias("place")  # null goes first
         summed = events.groupBy(*DOCUMENT, "source", "lang", "n_tokens", "action", "change_order").agg(F.count(F.lit(1)).alias("n"))
-        turns = events.filter(F.col("action") != INSERT).select(*DOCUMENT, F.struct(place, (F.col("action") == REVISE).alias("revised")).alias("turn"))
-        last = turns.groupBy(*DOCUMENT).agg(F.max("turn").alias("turn"))
+        turns = events.filter(F.col("action") != INSERT).select(*DOCUMENT, F.struct(place, (F.col("action") == REVISE).alias("revised")).alias("last"))
+        last = turns.groupBy(*DOCUMENT).agg(F.max("last").alias("last"))
         rows = _beside(summed, last, "left").withColumn("place", place)
-        added = (F.col("action") == INSERT) & (F.col("turn").isNull() | (F.col("place") >= F.col("turn.place")))
-        set_now = (F.col("action") != INSERT) & (F.col("place") == F.col("turn.place")) & ((F.col("action") == REVISE) == F.col("turn.revised"))
+        added = (F.col("action") == INSERT) & (F.col("last").isNull() | (F.col("place") >= F.col("last.place")))
+        set_now = (F.col("action") != INSERT) & (F.col("place") == F.col("last.place")) & ((F.col("action") == REVISE) == F.col("last.revised"))
         (
             rows.filter(added | set_now)
             .select(*DOCUMENT, "source", "lang", "n_tokens", F.when(F.col("action") == DELETE, 0).otherwise(F.col("n")).cast("long").alias("copies"),
-                    F.col("turn").isNotNull().alias("anew"), F.lit(batch).cast("long").alias("batch"))
+                    F.col("last").isNotNull().alias("anew"), F.lit(len(committed) + 1).cast("long").alias("turn"))
             .write.mode("overwrite").parquet(self._folder("ledger", batch))
         )
         self._write_deltas(batch)

@@ -1,7 +1,7 @@
 """Held-out language accuracy, mixing against a direct solution, rollups against a recount."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -138,6 +138,26 @@ def test_mixing_edges(spark):
     assert mixing.document_rates(docs.limit(0), one, {"q1t0": 1.0}, 1.0).collect() == []
 
 
+@pytest.mark.parametrize("gone", ["a", "m", "z"])
+def test_mixing_without_text_of_a_labelled_domain(spark, gone):
+    """A domain, first, middle or last by name, that has labels but no text here."""
+    rows = [(i, f"{w} common {w}{i % 7}") for i, w in enumerate(["alpha", "middle", "omega"] * 60)]
+    labels = [(i, "amz"[i % 3]) for i, _ in rows]
+    docs = spark.createDataFrame([r for r, (_, d) in zip(rows, labels) if d != gone], "doc_id long, text string")
+    classifier = mixing.learn_domains(docs, spark.createDataFrame(labels, "doc_id long, domain string"), F.col("domain"))
+    assert classifier.domains == ("a", "m", "z")
+    found = mixing.document_rates(docs, classifier, {"a": 0.5, "m": 0.3, "z": 0.2}, 1.0).collect()
+    place, wanted = "amz".index(gone), {"a": 0.5, "m": 0.3, "z": 0.2}
+    total = sum(r.n_tokens for r in found)
+    assert all(r.posteriors[place] == 0.0 and len(r.posteriors) == 3 for r in found)
+    assert all(r.converged and r.residual <= 1e-5 for r in found)
+    for k, d in enumerate("amz"):
+        share = sum(r.rate * r.n_tokens * r.posteriors[k] for r in found) / total
+        assert abs(share - (0.0 if d == gone else wanted[d] / (1 - wanted[gone]))) < 2e-5
+    never = mixing.document_rates(docs, classifier, {"amz".replace(gone, "")[0]: 1.0}, 400.0).collect()
+    assert {r.converged for r in never} == {max(abs(r.residual) for r in never) <= 1e-5}
+
+
 EVENTS = "doc_id long, tokenizer string, source string, lang string, n_tokens long, action string, change_order int"
 
 
@@ -201,3 +221,31 @@ def test_inserts_add_rows_and_changes_act_on_all_of_them(spark, tmp_path):
     for number, (events, want) in enumerate(batches):
         rollup.apply(number, spark.createDataFrame([(i, "v1", "a", "en", n, action, order) for i, n, action, order in events], EVENTS))
         assert [tuple(r)[3:] for r in rollup.totals().collect()] == [want]
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_batches_in_any_order_agree_with_the_ledger(spark, tmp_path, seed):
+    import random
+
+    rng = random.Random(seed)
+    rollup = token_rollup.TokenRollup(spark, str(tmp_path / "rollup"))
+    live = defaultdict(list)  # document: counts of its rows
+    for number in rng.sample(range(100), 5):
+        events = [(rng.choice([1, 2, 3, None]), "v1", rng.choice(["a", "b"]), "en", rng.randrange(9), rng.choice(["insert", "revise", "delete"]), i) for i in range(rng.randrange(4))]
+        rollup.apply(number, spark.createDataFrame(events, EVENTS))
+        for doc, _, source, _, n, action, _ in events:
+            if action != "insert":
+                live[doc] = []
+            if action != "delete":
+                live[doc].append((source, n))
+        if rng.random() < 0.5:
+            rollup.compact()
+            rollup.compact()
+        want = Counter(s for rows in live.values() for s, _ in rows), Counter()
+        for rows in live.values():
+            for s, n in rows:
+                want[1][s] += n
+        ledger = rollup.ledger().collect()
+        assert Counter({(r.doc_id, r.source, r.n_tokens): r.copies for r in ledger}) == Counter((d, s, n) for d, rows in live.items() for s, n in rows)
+        assert {r.source: (r.n_docs, r.n_tokens) for r in rollup.totals().collect()} == {s: (want[0][s], want[1][s]) for s in want[0]}
+    assert not rollup.apply(rollup.batches()[0], spark.createDataFrame([(9, "v1", "a", "en", 5, "insert", 0)], EVENTS))

@@ -100,3 +100,10 @@ def test_one_document_of_each_group_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
     kept = sorted((tuple(r) for r in ngram_join.one_of_each(docs).collect()), key=str)
     assert kept == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
+def test_unlike_texts_of_one_id_are_kept(spark):
+    one, two = "a b c d e f g h i j k l m n o p", "q r s t u v w x y z aa bb cc dd ee ff"
+    rows = [(1, one, None), (1, two, "x"), (1, two, "y"), (2, one, "x"), (3, two + " gg", "x"), (None, one, "x"), (4, None, None), (4, "", None)]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, n string").repartition(3), 5, 80).collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(map(str, [(1, one), (1, two), (None, one), (4, None), (4, "")]))

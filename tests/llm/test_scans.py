@@ -58,6 +58,18 @@ def test_entropy_spans():
         assert spans[clean] == []
 
 
+def test_the_allow_list_silences_only_what_it_names():
+    key, letters = "q7Xz9KpL2mVt8RwY4bNc1D", "QmzTbVxLwRkPfNsDhGjYcUaEoIzKqWtB" + "xVnMpLrS"
+    for text in (f"www.site.org/{key}", f"//hooks.example.com/services/T0A1/{key}", f"https://x.net/{key}", f"{key}.json", f"{key}xxxx", f"example/{key}", letters):
+        hidden = letters if text == letters else key
+        assert hidden not in secret_scan.redacted(f"see {text} now"), text
+    for clean in (
+        "www.site.org/articles/of/the/week", "https://docs.example.com/en/latest/index.html", "0123456789abcdefghijklmnopqrstuv", "src/tests/test_of_the_long_module.py",
+        "thisIsAVeryLongCamelCaseIdentifierInSomeCode", "INTERNATIONALISATIONANDLOCALISATIONCOMMITTEE", "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx1a2", "2024-05-06-17-18-19-20-21",
+    ):
+        assert secret_scan.spans(clean)[1] == [], clean
+
+
 def test_windows_equal_recounted_entropy():
     import math
     import random
@@ -121,6 +133,42 @@ def test_license_scan(spark, texts):
     assert labels[6] == "cc-by-nc" and labels[10] == "mit" and labels[11] == "apache" and labels[12] == "" and labels[13] == "gpl"
 
 
+def test_two_edits_in_a_template():
+    words = license_scan.words_of(license_scan.TEMPLATES[2][1])
+    for a in range(4, len(words) - 8, 3):
+        for b in (a + 4, a + 9, len(words) - 5):
+            edited = [*words[:a], "inserted", *words[a:b], "another", *words[b:]]
+            found = license_scan.default_matcher().match(edited)[1]
+            assert any(label == "apache" and end - start >= 0.9 * len(edited) for label, start, end, _ in found), (a, b)
+
+
+def test_chains_equal_all_chains():
+    """The best cover of any chain, by trying all, for templates with repeated stretches."""
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    matcher = license_scan.LicenseMatcher(phrases=(), templates=(("t", "w " * 12),), least_cover=0.01, gap=3)
+    for _ in range(400):
+        found = set()
+        for _ in range(rng.randrange(1, 7)):
+            size, start = rng.randrange(1, 5), rng.randrange(0, 20)
+            found.add((start, start + size, rng.randrange(size, 13)))
+        most = 0
+        for n in range(1, len(found) + 1):
+            for chain in itertools.permutations(found, n):
+                fits = all(b[1] >= a[1] and b[0] > a[0] and b[0] - a[1] <= 3 and b[2] > a[2] for a, b in zip(chain, chain[1:]))
+                if fits:
+                    covered, reached = 0, 0
+                    for start, end, place in chain:
+                        covered += place - max(place - (end - start), reached)
+                        reached = place
+                    most = max(most, covered)
+        spans = matcher._chain(0, list(found))
+        assert max(round(share * 12) for *_, share in spans) == most, found
+        assert all(a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+
+
 def test_matching_statistics():
     """The automaton against the longest stretch found by trying all."""
     import random
