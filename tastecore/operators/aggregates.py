@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastecore.functions import at_most
+from tastecore.operators.gram import correlations
 from tastecore.plans.ordering import rank_within
 
 # Columns aggregated together: keeps the compiled aggregate small; the result does not depend on it.
@@ -143,14 +142,9 @@ def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
-    """Pearson correlations as rows (i, j, corr), rounded; NaN for a constant column.
-
-    Only the matrix, columns x columns, passes through the driver.
-    """
+    """Pearson correlations as rows (i, j, corr), rounded; NaN for a constant column, and 1 of a column with itself."""
     cols = list(cols)
-    vectors = VectorAssembler(inputCols=cols, outputCol="v").transform(df.select(*cols))
-    matrix = Correlation.corr(vectors, "v", "pearson").head()[0].toArray()
-    entries = [(a, b, float(matrix[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    rows = df.sparkSession.createDataFrame(entries, "i string, j string, corr double")
+    names = F.array(*[F.lit(c) for c in cols])
+    found = correlations(df, cols)
     # Adding 0.0 turns a rounded -0.0 into 0.0.
-    return rows.withColumn("corr", F.round("corr", digits) + F.lit(0.0))
+    return found.select(F.get(names, F.col("i")).alias("i"), F.get(names, F.col("j")).alias("j"), (F.round("corr", digits) + F.lit(0.0)).alias("corr"))

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastecore.operators.gram import pair_counts
 from tastecore.operators.quantiles import interquartile_range
 from tastecore.plans.staging import stage
 
@@ -105,8 +106,8 @@ def kde(
 def pair_bins(df: DataFrame, cols: Sequence[str], bins: int, by: str | None = None) -> DataFrame:
     """Counts behind a scatter matrix: one row per column pair and occupied cell.
 
-    A pair of a column with itself is its histogram. Each row gives one cell
-    per pair; the cells are counted before the shuffle.
+    A pair of a column with itself is its histogram. Tasks count the cells of all pairs in dense
+    arrays, so what is shuffled depends on the cells, not on rows times pairs.
     """
     cols, keys = list(cols), [by] if by else []
     ends = df.agg(
@@ -121,18 +122,10 @@ def pair_bins(df: DataFrame, cols: Sequence[str], bins: int, by: str | None = No
         place = F.floor((F.col(c) - lo) / ((hi - lo) / F.lit(bins)))
         return F.when(hi > lo, F.least(place, F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
 
-    cells = df.select(*keys, *[cell(c).alias(c) for c in cols])
-    pairs = [
-        F.struct(F.lit(a).alias("x_col"), F.lit(b).alias("y_col"), F.col(a).alias("x_bin"), F.col(b).alias("y_bin"))
-        for i, a in enumerate(cols)
-        for b in cols[i:]
-    ]
-    return (
-        cells.select(*keys, F.explode(F.array(*pairs)).alias("p"))
-        .select(*keys, "p.*")
-        .groupBy(*keys, "x_col", "y_col", "x_bin", "y_bin")
-        .count()
-    )
+    cells = df.select(*keys, *[cell(c).alias(f"_cell{i}") for i, c in enumerate(cols)])
+    counts = pair_counts(cells, [f"_cell{i}" for i in range(len(cols))], bins, by)
+    names = F.array(*[F.lit(c) for c in cols])
+    return counts.select(*keys, F.get(names, F.col("a")).alias("x_col"), F.get(names, F.col("b")).alias("y_col"), "x_bin", "y_bin", F.col("n").alias("count"))
 
 
 def mesh_grid(df: DataFrame, x: str, y: str, h: float = 0.02, pad: float = 1.0) -> DataFrame:
