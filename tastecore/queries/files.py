@@ -148,14 +148,14 @@ def labelled_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> str:
-    """Orders as text lines, two directory levels; returns the root."""
+    """Orders as text lines, two directory levels, without a _SUCCESS file beside them; returns the root."""
     path = scratch_path(spark, "inventory")
     key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
     table(spark, sf_dir, "orders").select(
         F.concat_ws(" ", key, customer, "o_orderpriority").alias("value"),
         F.col("o_orderstatus").alias("status"),
         F.year("o_orderdate").alias("year"),
-    ).write.partitionBy("status", "year").text(path)
+    ).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("status", "year").text(path)
     return path
 
 

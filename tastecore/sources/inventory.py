@@ -1,31 +1,93 @@
-"""What lies in a folder: non-empty files, bytes per directory, lines per file.
+"""What lies in a folder: every file, bytes per directory, lines per file.
 
-Spark's file sources list neither empty files nor names starting with _ or a dot.
+Folders are listed level by level, each level by the tasks of one job, so that neither files nor folders pass through
+the driver. Empty files, hidden files and names starting with _ are listed like all others; Spark's own file sources leave
+them out. Only the `.name.crc` files, which Hadoop keeps beside local files and never shows, are left out here too.
+
+Tasks reach the files through Arrow's file systems: local and mounted folders, HDFS (with libhdfs on the executors),
+S3 (`s3a` is read as `s3`), Google and Azure stores.
 """
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
+from collections.abc import Iterator
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastecore.plans.staging import stage
 
-def _below(path, root: str):
-    """What follows the root where it first occurs; it may occur again further down."""
-    prefix = urlparse(root).path.rstrip("/") + "/"
-    return F.substring(path, F.instr(path, prefix) + F.lit(len(prefix)), F.length(path))
+NAMES_AT_ONCE = 10_000
+RANGE = 128 * 2**20  # bytes of an uncompressed file that one task counts
+CHUNK = 4 * 2**20
+PACKED = r"\.(gz|bz2|zst|lz4)$"
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below `root`: relative path, directory, depth, bytes.
+def _qualified(spark: SparkSession, path: str) -> list[str]:
+    """Full addresses of what a path or a pattern names."""
+    wanted = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = wanted.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(wanted)
+    places = [status.getPath().toString() for status in found or []]
+    if not places:
+        raise FileNotFoundError(path)
+    return places
 
-    Only path and length are read; file contents are pruned from the scan.
-    Empty files, hidden files and names starting with _ are left out by Spark.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+
+def _store(address: str) -> tuple[str, str]:
+    """(what Arrow opens the file system with, path inside it)"""
+    scheme, _, rest = address.partition(":")
+    if scheme == "file":
+        return "", "/" + rest.lstrip("/")
+    host, _, path = rest.lstrip("/").partition("/")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    # In a store of buckets, paths start with the bucket.
+    return f"{scheme}://{host}", f"/{path}" if scheme in ("hdfs", "viewfs") else f"{host}/{path}"
+
+
+def _tree(spark: SparkSession, path: str) -> tuple[str, list[str], DataFrame]:
+    """The store's address, the places in it that `path` names, and all files there and below: (place, length)."""
+    stores, roots = zip(*[_store(a) for a in _qualified(spark, path)])
+    address, tasks = stores[0], int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def entries(batches: Iterator[pa.RecordBatch], first: bool) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store = fs.FileSystem.from_uri(address)[0] if address else fs.LocalFileSystem()
+        for batch in batches:
+            for place in batch.column(0).to_pylist():
+                # A folder may go while the tree is read.
+                found = store.get_file_info([place] if first else fs.FileSelector(place, allow_not_found=True))
+                names = [f.base_name for f in found]
+                seen = [f for f, n in zip(found, names) if address or not (n.startswith(".") and n.endswith(".crc"))]
+                for start in range(0, len(seen), NAMES_AT_ONCE):
+                    part = seen[start : start + NAMES_AT_ONCE]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([f.path for f in part], pa.string()),
+                            pa.array([f.size or 0 for f in part], pa.int64()),
+                            pa.array([f.type == fs.FileType.Directory for f in part], pa.bool_()),
+                        ],
+                        names=["place", "length", "folder"],
+                    )
+
+    folders, levels = spark.createDataFrame([(r,) for r in roots], "place string"), []
+    while not levels or not folders.isEmpty():
+        first = not levels
+        listed = folders.repartition(tasks, "place").mapInArrow(lambda b, first=first: entries(b, first), "place string, length long, folder boolean")
+        levels.append(stage(listed, "listing"))
+        folders = levels[-1].filter("folder").select("place")
+    return address, list(roots), reduce(DataFrame.unionAll, levels).filter(~F.col("folder")).select("place", "length")
+
+
+def file_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Every file below the folder `root`: relative path, directory, depth, bytes (0 for empty files)."""
+    _, (base, *_), files = _tree(spark, root)
+    prefix = base.rstrip("/") + "/"
+    below = files.select(F.substring("place", len(prefix) + 1, 2**31 - 1).alias("path"), "length")
     parts = F.split("path", "/")
-    return files.select(_below(F.col("path"), root).alias("path"), "length").select(
+    return below.select(
         "path",
         F.when(F.size(parts) > 1, F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/"))
         .otherwise("")
@@ -36,7 +98,7 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
 
 
 def directory_usage(inventory: DataFrame, depth: int) -> DataFrame:
-    """Bytes and files per directory, for the top `depth` levels."""
+    """Bytes and files per directory, for the top `depth` levels; directories of empty files have 0 bytes."""
     parts = F.split("directory", "/")
     levels = F.sequence(F.lit(1), F.least(F.size(parts), F.lit(depth)))
     return (
@@ -49,6 +111,42 @@ def directory_usage(inventory: DataFrame, depth: int) -> DataFrame:
 
 
 def file_line_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Lines per file, compressed files included; Spark scans leave out empty files."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    return lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("lines"))
+    """Lines per file at or below a path or pattern: (path, lines), 0 for empty files.
+
+    Lines end with a line feed; a last one without it counts. Files named .gz, .bz2, .zst or .lz4 are unpacked, each
+    by one task; the others are counted in ranges of 128 MB.
+    """
+    address, _, files = _tree(spark, path)
+    tasks, size, chunk = int(spark.conf.get("spark.sql.shuffle.partitions")), RANGE, CHUNK
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store = fs.FileSystem.from_uri(address)[0] if address else fs.LocalFileSystem()
+
+        def lines(place: str, start: int | None, length: int) -> int:
+            """Line ends, and 1 for the rest of the file's last line."""
+            if start is None:
+                stream, left = store.open_input_stream(place, compression="detect"), float("inf")
+            else:
+                stream, left = store.open_input_file(place), min(size, length - start)
+                stream.seek(start)
+            found, last = 0, b"\n"
+            with stream:
+                while left and (part := stream.read(min(chunk, left))):
+                    found, last, left = found + part.count(b"\n"), part[-1:], left - len(part)
+            return found + (last != b"\n" and (start is None or start + size >= length))
+
+        for batch in batches:
+            rows = list(zip(*[c.to_pylist() for c in batch.columns]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([lines(*r) for r in rows], pa.int64())], names=["place", "lines"]
+            )
+
+    zero = F.lit(0).cast("long")
+    starts = F.sequence(zero, F.greatest(F.col("length") - 1, zero), F.lit(size).cast("long"))
+    packed = F.col("place").rlike(PACKED) & (F.col("length") > 0)
+    ranges = files.select("place", F.explode(F.when(packed, F.array(F.lit(None).cast("long"))).otherwise(starts)).alias("start"), "length")
+    counts = ranges.repartition(tasks, "place", "start").mapInArrow(counted, "place string, lines long")
+    prefix = address.partition(":")[0] + "://" if address and not address.startswith("hdfs") else address or "file://"
+    return stage(counts, "lines").groupBy(F.concat(F.lit(prefix), "place").alias("path")).agg(F.sum("lines").alias("lines"))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastecore import sources
+from tastecore.sources import inventory
 
 
 def test_schema_rules(spark):
@@ -106,6 +107,50 @@ def test_inventory_usage_and_lines(spark, tmp_path):
     assert lines == {"top.txt": 2, "x.txt": 1, "z.txt.gz": 7}
 
 
+def test_empty_and_hidden_files_are_listed(spark, tmp_path):
+    (tmp_path / "a/only empty").mkdir(parents=True)
+    (tmp_path / "a/only empty/none.txt").touch()
+    (tmp_path / "a/none.gz").touch()
+    (tmp_path / "a/_SUCCESS").touch()
+    (tmp_path / "a/.hidden").write_text("1\n2\n3")
+    (tmp_path / "a/.x.txt.crc").write_text("kept by Hadoop")
+    (tmp_path / "a/x+y %41.txt").write_text("1\n\n")
+    (tmp_path / "no files").mkdir()
+    files = sources.file_inventory(spark, str(tmp_path))
+    assert {r["path"]: r["length"] for r in files.collect()} == {
+        "a/only empty/none.txt": 0, "a/none.gz": 0, "a/_SUCCESS": 0, "a/.hidden": 5, "a/x+y %41.txt": 3,
+    }
+    usage = {r["directory"]: (r["bytes"], r["files"]) for r in sources.directory_usage(files, 2).collect()}
+    assert usage == {"a": (8, 5), "a/only empty": (0, 1)}
+    lines = {r["path"]: r["lines"] for r in sources.file_line_counts(spark, str(tmp_path)).collect()}
+    assert lines == {
+        f"file://{tmp_path}/a/{name}": n
+        for name, n in {"only empty/none.txt": 0, "none.gz": 0, "_SUCCESS": 0, ".hidden": 3, "x+y %41.txt": 2}.items()
+    }
+
+
+def test_listing_by_pattern_and_of_missing_and_empty_folders(spark, tmp_path):
+    (tmp_path / "one").mkdir()
+    for name in ("one/f.txt", "g.txt", "g.csv"):
+        (tmp_path / name).write_text("l\n")
+    found = sources.file_line_counts(spark, str(tmp_path / "*.txt")).collect()
+    assert [(r["path"].rsplit("/", 1)[-1], r["lines"]) for r in found] == [("g.txt", 1)]
+    (tmp_path / "two").mkdir()
+    assert sources.file_inventory(spark, str(tmp_path / "two")).collect() == []
+    with pytest.raises(FileNotFoundError):
+        sources.file_inventory(spark, str(tmp_path / "three"))
+
+
+def test_lines_of_a_file_in_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inventory, "RANGE", 7)
+    monkeypatch.setattr(inventory, "CHUNK", 3)
+    texts = {"ends.txt": "abc\n" * 14, "open.txt": "\n" * 7 + "abcdefghij", "one.txt": "x" * 40, "edge.txt": "123456\n1"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    found = {r["path"].rsplit("/", 1)[-1]: r["lines"] for r in sources.file_line_counts(spark, str(tmp_path)).collect()}
+    assert found == {name: len(text.splitlines()) for name, text in texts.items()}
+
+
 def test_inventory_below_a_repeated_root(spark, tmp_path):
     root = tmp_path / "t/a"
     inside = root / str(root).lstrip("/") / "x"
