@@ -1,7 +1,7 @@
 """What lies in a folder: every file, bytes per directory, lines per file.
 
-Folders are listed level by level, each level by the tasks of one job, so that neither files nor folders pass through
-the driver. Empty files, hidden files and names starting with _ are listed like all others; Spark's own file sources leave
+Folders are listed in rounds of one job each: a task lists the folders given to it and goes on below them for a while;
+what it has not reached is spread over all tasks of the next round, so that neither files nor folders pass through the driver. Empty files, hidden files and names starting with _ are listed like all others; Spark's own file sources leave
 them out. Only the `.name.crc` files, which Hadoop keeps beside local files and never shows, are left out here too.
 
 Tasks reach the files through Arrow's file systems: local and mounted folders, HDFS (with libhdfs on the executors),
@@ -20,16 +20,17 @@ from pyspark.sql import functions as F
 from tastecore.plans.staging import stage
 
 NAMES_AT_ONCE = 10_000
+FOLDERS_AT_ONCE = 256  # folders that a task lists below those given to it, before it hands on what is left
 RANGE = 128 * 2**20  # bytes of an uncompressed file that one task counts
 CHUNK = 4 * 2**20
 PACKED = r"\.(gz|bz2|zst|lz4)$"
 
 
-def _qualified(spark: SparkSession, path: str) -> list[str]:
-    """Full addresses of what a path or a pattern names."""
+def _named(spark: SparkSession, path: str) -> list[tuple[str, int, bool]]:
+    """(full address, bytes, whether it is a folder) of what a path or a pattern names."""
     wanted = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = wanted.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(wanted)
-    places = [status.getPath().toString() for status in found or []]
+    places = [(s.getPath().toString(), s.getLen(), s.isDirectory()) for s in found or []]
     if not places:
         raise FileNotFoundError(path)
     return places
@@ -46,44 +47,48 @@ def _store(address: str) -> tuple[str, str]:
     return f"{scheme}://{host}", f"/{path}" if scheme in ("hdfs", "viewfs") else f"{host}/{path}"
 
 
-def _tree(spark: SparkSession, path: str) -> tuple[str, list[str], DataFrame]:
-    """The store's address, the places in it that `path` names, and all files there and below: (place, length)."""
-    stores, roots = zip(*[_store(a) for a in _qualified(spark, path)])
-    address, tasks = stores[0], int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _tree(spark: SparkSession, path: str) -> tuple[str, str, DataFrame]:
+    """The store's address, the first place in it that `path` names, and all files there and below: (place, length)."""
+    named = [(*_store(address), length, folder) for address, length, folder in _named(spark, path)]
+    address, tasks = named[0][0], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at_once, names_at_once = FOLDERS_AT_ONCE, NAMES_AT_ONCE
 
-    def entries(batches: Iterator[pa.RecordBatch], first: bool) -> Iterator[pa.RecordBatch]:
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store = fs.FileSystem.from_uri(address)[0] if address else fs.LocalFileSystem()
+
+        def rows(found: list[tuple[str, int, bool]]) -> Iterator[pa.RecordBatch]:
+            for start in range(0, len(found), names_at_once):
+                columns = zip(*found[start : start + names_at_once])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.bool_()))], names=["place", "length", "folder"])
+
         for batch in batches:
-            for place in batch.column(0).to_pylist():
+            waiting, listed = batch.column(0).to_pylist(), 0
+            given = len(waiting)
+            while waiting and listed < given + at_once:
                 # A folder may go while the tree is read.
-                found = store.get_file_info([place] if first else fs.FileSelector(place, allow_not_found=True))
-                names = [f.base_name for f in found]
-                seen = [f for f, n in zip(found, names) if address or not (n.startswith(".") and n.endswith(".crc"))]
-                for start in range(0, len(seen), NAMES_AT_ONCE):
-                    part = seen[start : start + NAMES_AT_ONCE]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([f.path for f in part], pa.string()),
-                            pa.array([f.size or 0 for f in part], pa.int64()),
-                            pa.array([f.type == fs.FileType.Directory for f in part], pa.bool_()),
-                        ],
-                        names=["place", "length", "folder"],
-                    )
-
-    folders, levels = spark.createDataFrame([(r,) for r in roots], "place string"), []
-    while not levels or not folders.isEmpty():
-        first = not levels
-        listed = folders.repartition(tasks, "place").mapInArrow(lambda b, first=first: entries(b, first), "place string, length long, folder boolean")
-        levels.append(stage(listed, "listing"))
-        folders = levels[-1].filter("folder").select("place")
-    return address, list(roots), reduce(DataFrame.unionAll, levels).filter(~F.col("folder")).select("place", "length")
+                found = store.get_file_info(fs.FileSelector(waiting.pop(), allow_not_found=True))
+                listed += 1
+                waiting += [f.path for f in found if f.type == fs.FileType.Directory]
+                files = [f for f in found if f.type != fs.FileType.Directory]
+                shown = [f for f in files if address or not (f.base_name.startswith(".") and f.base_name.endswith(".crc"))]
+                yield from rows([(f.path, f.size or 0, False) for f in shown])
+            yield from rows([(place, 0, True) for place in waiting])
+
+    schema = "place string, length long, folder boolean"
+    parts = [spark.createDataFrame([row[1:] for row in named], schema)]
+    waiting = sum(folder for *_, folder in named)
+    while waiting:
+        folders = parts[-1].filter("folder").select("place").repartition(min(tasks, waiting), "place")
+        parts.append(stage(folders.mapInArrow(entries, schema), "listing"))
+        waiting = parts[-1].filter("folder").count()
+    return address, named[0][1], reduce(DataFrame.unionAll, parts).filter(~F.col("folder")).select("place", "length")
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Every file below the folder `root`: relative path, directory, depth, bytes (0 for empty files)."""
-    _, (base, *_), files = _tree(spark, root)
+    _, base, files = _tree(spark, root)
     prefix = base.rstrip("/") + "/"
     below = files.select(F.substring("place", len(prefix) + 1, 2**31 - 1).alias("path"), "length")
     parts = F.split("path", "/")

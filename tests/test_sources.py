@@ -141,6 +141,20 @@ def test_listing_by_pattern_and_of_missing_and_empty_folders(spark, tmp_path):
         sources.file_inventory(spark, str(tmp_path / "three"))
 
 
+@pytest.mark.parametrize("at_once", [0, 1, 3])
+def test_a_tree_listed_in_many_rounds(spark, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(inventory, "FOLDERS_AT_ONCE", at_once)
+    monkeypatch.setattr(inventory, "NAMES_AT_ONCE", 2)
+    want = {}
+    for i in range(12):
+        path = f"{'a/' * (i % 4)}{'b/' * (i % 3)}f{i}"
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text("x" * i)
+        want[path] = i
+    found = sources.file_inventory(spark, str(tmp_path)).collect()
+    assert len(found) == 12 and {r["path"]: r["length"] for r in found} == want
+
+
 def test_lines_of_a_file_in_ranges(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(inventory, "RANGE", 7)
     monkeypatch.setattr(inventory, "CHUNK", 3)
