@@ -16,6 +16,7 @@ from tastecore.operators.aggregates import count_by
 from tastecore.operators.classify import one_vs_rest
 from tastecore.operators.features import index_strings, index_triplets, prepare
 from tastecore.operators.joins import active_triplets, attach_label
+from tastecore.operators.logistic_grid import LogisticSearch
 from tastecore.operators.metrics import binary_metrics, multiclass_metrics, rmse, roc_auc
 from tastecore.operators.ranking import ranking_metrics
 from tastecore.operators.recommend import predict_ratings, recommend_rows, train_als
@@ -23,8 +24,8 @@ from tastecore.operators.relational import top_users
 from tastecore.operators.sampling import balance, cap_classes, hash_split, user_holdout, with_folds
 from tastecore.plans.staging import stage
 
-# (name, estimator, cross validator or None)
-Algorithms = Sequence[tuple[str, Estimator, CrossValidator | None]]
+# (name, estimator, grid search or None)
+Algorithms = Sequence[tuple[str, Estimator, CrossValidator | LogisticSearch | None]]
 FOLD = "fold"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastecore.functions import binary_label
-from tastecore.operators import classify, density, features, kernel_svm, metrics, newton_svm, recommend, relational, sampling
+from tastecore.operators import classify, density, features, kernel_svm, logistic_grid, metrics, newton_svm, recommend, relational, sampling
 from tastecore.plans import flows
 from tastecore.plans.staging import stage
 from tastecore.queries.registry import query
@@ -99,15 +99,21 @@ def decision_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, sf_dir: str, kind: str, grid: dict, **params) -> DataFrame:
-    """Every grid point, and whether its mean F1 over five folds is a share above 0."""
+    """Every grid point with its mean F1 over five folds, and whether it is the one chosen."""
     rows = sampling.with_folds(embedded_binary(spark, sf_dir), ["vec_id"], 5)
-    search = classify.cross_validate(classify.classifier(kind, **params), grid, fold_col="fold", parallelism=8)
-    model = search.fit(stage(rows, "folds", spread=["vec_id"]))
-    found = [
-        (", ".join(sorted(f"{p.name}={v}" for p, v in point.items())), 0.0 < float(score) <= 1.0)
-        for point, score in zip(search.getEstimatorParamMaps(), model.avgMetrics)
-    ]
-    return spark.createDataFrame(found, "point string, usable boolean")
+    if kind == "logistic":
+        search = logistic_grid.LogisticSearch(grid, **params)
+    else:
+        search = classify.cross_validate(classify.classifier(kind, **params), grid, fold_col="fold", parallelism=8)
+    scores = [float(score) for score in search.fit(stage(rows, "folds", spread=["vec_id"])).avgMetrics]
+    points = [", ".join(sorted(f"{p.name}={v}" for p, v in point.items())) for point in search.getEstimatorParamMaps()]
+    found = [(point, score, i == scores.index(max(scores))) for i, (point, score) in enumerate(zip(points, scores))]
+    return spark.createDataFrame(found, "point string, f1 double, chosen boolean")
+
+
+def _usable(found: DataFrame) -> DataFrame:
+    """Every grid point, and whether its score is a share above 0."""
+    return found.select("point", ((F.col("f1") > 0) & (F.col("f1") <= 1)).alias("usable"))
 
 
 def _points_sql(grid: dict) -> str:
@@ -119,16 +125,26 @@ def _points_sql(grid: dict) -> str:
 
 @query("cv_logistic", _points_sql(classify.LOGISTIC_GRID))
 def cv_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir, "logistic", classify.LOGISTIC_GRID)
+    return _usable(_search(spark, sf_dir, "logistic", classify.LOGISTIC_GRID))
 
 
 @query("cv_forest", _points_sql(classify.FOREST_GRID))
 def cv_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir, "forest", classify.FOREST_GRID, seed=1)
+    return _usable(_search(spark, sf_dir, "forest", classify.FOREST_GRID, seed=1))
 
 
 @query("cv_tree", _points_sql(classify.TREE_GRID))
 def cv_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _usable(_search(spark, sf_dir, "tree", classify.TREE_GRID, seed=1))
+
+
+@query("cv_logistic_scores")
+def cv_logistic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "logistic", classify.LOGISTIC_GRID)
+
+
+@query("cv_tree_scores")
+def cv_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search(spark, sf_dir, "tree", classify.TREE_GRID, seed=1)
 
 
@@ -146,7 +162,11 @@ def binary_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = []
     for kind, grid in grids.items():
         estimator = classify.classifier(kind, **({} if kind == "logistic" else {"seed": 1}))
-        runs.append((kind, estimator, classify.cross_validate(estimator, grid, fold_col=flows.FOLD, parallelism=8)))
+        if kind == "logistic":
+            search = logistic_grid.LogisticSearch(grid, fold_col=flows.FOLD)
+        else:
+            search = classify.cross_validate(estimator, grid, fold_col=flows.FOLD, parallelism=8)
+        runs.append((kind, estimator, search))
     return flows.binary_experiment(embedded(spark, sf_dir), runs, positive="class_3", keys=["vec_id"])
 
 
