@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,10 @@ from tastecore.plans.staging import stage
 
 # exp(-z * z / 2) is 0.0 in a double from 38.61 bandwidths on: nothing that counts is left out.
 REACH = 38.7
+# Cells of a quarter of a bandwidth: a value lies within 1/8 of its cell's centre, so the series of exp(z * d) is taken
+# at |z * d| < 4.9, where 32 terms err by less than 1e-10 of the sum; within 8 bandwidths, by less than rounding.
+CELLS = 4
+TERMS = 32
 
 
 def _bounds(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
@@ -38,21 +43,40 @@ def class_grid(df: DataFrame, col: str, points: int, by: str | None = None) -> D
     return _grid(_bounds(df, col, keys), keys, points)
 
 
+def _centre():
+    return F.col("_lo") + (F.col("_cell") + F.lit(0.5)) * (F.col("_h") / F.lit(CELLS))
+
+
+def _moments(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per cell the sums of w * exp(-d^2 / 2) * d^k / k!, as _m0 to the last term."""
+    placed = values.withColumn("_cell", F.floor((F.col("_v") - F.col("_lo")) / (F.col("_h") / F.lit(CELLS))))
+    placed = placed.withColumn("_d1", (F.col("_v") - _centre()) / F.col("_h"))
+    placed = placed.withColumn("_t", F.col("_w") * F.exp(-0.5 * F.col("_d1") * F.col("_d1")))
+    bits = [1 << b for b in range((TERMS - 1).bit_length())]
+    for low, high in zip(bits, bits[1:]):
+        placed = placed.withColumn(f"_d{high}", F.col(f"_d{low}") * F.col(f"_d{low}"))
+
+    def term(k: int):
+        return reduce(lambda a, b: a * b, [F.col(f"_d{b}") for b in bits if k & b], F.col("_t"))
+
+    return placed.groupBy(*keys).agg(*[(F.sum(term(k)) / F.lit(float(math.factorial(k)))).alias(f"_m{k}") for k in range(TERMS)])
+
+
 def kde(
     df: DataFrame,
     col: str,
     by: str | None = None,
     points: int = 1000,
     bandwidth: str | float = "scott",
-    collapse: bool = True,
+    collapse: bool = False,
 ) -> DataFrame:
     """Gaussian kernel density at even points from min to max: (by, i, x, density).
 
-    Each value is sent only to the grid points its kernel reaches, and the
-    contributions are summed before the shuffle, so no pair of value and
-    point leaves its task. As the bandwidth shrinks with the number of rows,
-    so does the number of points per value. `collapse` first merges equal
-    values to one weighted value; turn it off for a continuous column.
+    A fast Gauss transform: values are summed to the moments of cells a quarter of a bandwidth wide, and only a
+    cell's moments are sent to the grid points which its kernels reach. With d the distance of a value to the cell's
+    centre and z that of the point, in bandwidths, exp(-(z - d)^2 / 2) = exp(-z^2 / 2) * sum of z^k * (d^k / k!) * exp(-d^2 / 2).
+    The cost is a constant per value plus a constant per point, whatever the bandwidth. `collapse` first merges
+    equal values to one weighted value.
 
     Where the bandwidth is 0 or undefined (a class with one row or one value under
     "scott") there is no curve, and its densities are null.
@@ -84,20 +108,24 @@ def kde(
     else:
         spread = values.select("*", bounds.select(F.struct("*")).scalar().alias("_b")).select("_v", "_w", "_b.*")
     lo, h = F.col("_lo"), F.col("_h")
+    cells = _moments(spread.filter(h > 0), [*keys, "_cell", "_n", "_lo", "_hi", "_h"])
     step = (F.col("_hi") - lo) / F.lit(points - 1)
+    reach = F.lit(REACH + 0.5 / CELLS) * h
     # With a single value all points are the same, and all are reached.
-    first = F.when(step > 0, F.greatest(F.lit(0.0), F.ceil((F.col("_v") - REACH * h - lo) / step))).otherwise(0).cast("int")
-    last = F.when(step > 0, F.least(F.lit(points - 1.0), F.floor((F.col("_v") + REACH * h - lo) / step))).otherwise(points - 1).cast("int")
+    first = F.when(step > 0, F.greatest(F.lit(0.0), F.ceil((_centre() - reach - lo) / step))).otherwise(0).cast("int")
+    last = F.when(step > 0, F.least(F.lit(points - 1.0), F.floor((_centre() + reach - lo) / step))).otherwise(points - 1).cast("int")
     reached = (
-        spread.filter(h > 0)
-        .withColumn("_first", first)
+        cells.withColumn("_first", first)
         .withColumn("_last", last)
         .filter(F.col("_first") <= F.col("_last"))
         .withColumn("i", F.explode(F.sequence("_first", "_last")))
+        .withColumn("_z", (lo + F.col("i") * step - _centre()) / h)
     )
-    z = (lo + F.col("i") * step - F.col("_v")) / h
-    weight = F.col("_w") / (F.col("_n") * h * F.lit(math.sqrt(2 * math.pi)))
-    sums = reached.groupBy(*keys, "i").agg(F.sum(weight * F.exp(-0.5 * z * z)).alias("density"))
+    z = F.col("_z")
+    series = reduce(lambda found, k: found * z + F.col(f"_m{k}"), reversed(range(TERMS - 1)), F.col(f"_m{TERMS - 1}"))
+    # Rounding may leave nothing of a far tail, but no less.
+    term = F.greatest(F.lit(0.0), series) * F.exp(-0.5 * z * z) / (F.col("_n") * h * F.lit(math.sqrt(2 * math.pi)))
+    sums = reached.groupBy(*keys, "i").agg(F.sum(term).alias("density"))
     curve = _grid(bounds, [*keys, "_h"], points).join(sums, [*keys, "i"], "left")
     density = F.when(F.col("_h") > 0, F.coalesce("density", F.lit(0.0))).alias("density")
     return curve.select(*keys, "i", "x", density)

@@ -110,6 +110,29 @@ def test_undefined_curves_are_null(spark):
     assert {r["density"] for r in density.kde(df, "v", points=3, bandwidth=0.0).collect()} == {None}
 
 
+@pytest.mark.parametrize("h", [0.003, 0.2, 5.0])
+def test_transform_is_within_its_error_bound_also_in_the_tails(spark, h):
+    """Relative error against the direct sum, where the sum is any number above the smallest ones."""
+    draw = np.random.default_rng(8)
+    values = np.concatenate([draw.normal(0, 1, 300), draw.normal(9, 0.1, 50), [-30.0, 41.7]])
+    _, y = _curve(density.kde(spark.createDataFrame([(v,) for v in values.tolist()], "v double"), "v", points=300, bandwidth=h))
+    _, want = _exact(values, 300, h)
+    counts = want > 1e-290
+    assert counts.sum() > 5 and np.abs(y[counts] / want[counts] - 1).max() < 1e-9
+    near = want > 1e-6
+    assert np.abs(y[near] / want[near] - 1).max() < 1e-12
+    assert (y[~counts] < 1e-280).all() and (y >= 0).all()
+
+
+def test_rows_sent_to_points_do_not_grow_with_the_values(spark):
+    """Ten times the values in the same cells give the same number of moments."""
+    sizes = []
+    for n in (2_000, 20_000):
+        df = spark.range(n).select(((F.col("id") * 7919) % n / n).alias("_v"), F.lit(1.0).alias("_w"), F.lit(0.0).alias("_lo"), F.lit(0.01).alias("_h"))
+        sizes.append(density._moments(df, ["_cell", "_lo", "_h"]).count())
+    assert sizes == [400, 400]
+
+
 def test_far_tails_stay_positive(spark):
     df = spark.createDataFrame([(0.0,), (0.0,), (30.0,)], "v double")
     _, y = _curve(density.kde(df, "v", points=31, bandwidth=1.0))
