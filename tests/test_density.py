@@ -130,7 +130,7 @@ def test_rows_sent_to_points_do_not_grow_with_the_values(spark):
     for n in (2_000, 20_000):
         df = spark.range(n).select(((F.col("id") * 7919) % n / n).alias("_v"), F.lit(1.0).alias("_w"), F.lit(0.0).alias("_lo"), F.lit(0.01).alias("_h"))
         sizes.append(density._moments(df, ["_cell", "_lo", "_h"]).count())
-    assert sizes == [400, 400]
+    assert sizes == [1600, 1600]
 
 
 def test_far_tails_stay_positive(spark):
