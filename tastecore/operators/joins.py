@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastecore.operators.aggregates import matched_popularity, song_popularity, user_activity
-from tastecore.operators.quantiles import quantile_value
+from tastecore.operators.quantiles import quantile_values
 from tastecore.plans.staging import stage
 
 
@@ -44,8 +44,9 @@ def active_triplets(triplets: DataFrame, q: float = 0.25, mismatches: DataFrame
     rows = triplets if mismatches is None else remove_mismatches(triplets, mismatches)
     songs = stage(songs, "songs")
     users = stage(user_activity(rows), "users")
-    quiet_songs = songs.filter(F.col("playcount") < quantile_value(songs, "playcount", q))
-    quiet_users = users.filter(F.col("songcount") < quantile_value(users, "songcount", q))
+    plays, known = quantile_values([(songs, "playcount"), (users, "songcount")], q)
+    quiet_songs = songs.filter(F.col("playcount") < plays)
+    quiet_users = users.filter(F.col("songcount") < known)
     return rows.join(quiet_songs.select("song_id"), "song_id", "left_anti").join(
         quiet_users.select("user_id"), "user_id", "left_anti"
     )

@@ -1,93 +1,153 @@
-"""Exact quantiles that never gather the values in one place.
-
-A first pass takes a KLL sketch of each column, merged in two levels so that the
-last task reads a fixed number of sketches whatever the number of input tasks.
-It brackets every wanted quantile; the rank error of such a sketch is bounded with
-high probability only. A second pass keeps the values inside the brackets and
-only counts those between them, so of a column with many distinct values some
-hundredths are shuffled and sorted. Should a bracket miss, the column is counted
-again without brackets. Values that a double cannot hold are all counted.
+"""Exact quantiles that never gather, sort or shuffle the values.
+
+Every round is one aggregate over the column. The first takes a KLL sketch of all values; of it come two
+marks around each wanted rank. The next round counts the rows below the lower mark, at it, between
+both and at the upper one, and sketches those between, whose marks are some hundred times closer, and so on. A rank is
+found when its value is a mark, or when so few rows are left between the marks that their sketch
+holds each of them. The counts are exact, so a sketch that errs by more than expected (its rank error is
+bounded with high probability only) costs a round, not the answer. Sketches are merged in two levels, so that the
+last task reads a fixed number of them whatever the number of input tasks; a few numbers and one
+sketch per rank (some 100 kB) reach the driver. A million rows take two rounds, 10^12 take five; from the
+third on the scan is filtered by the marks.
+
+Values that a double cannot hold are counted one by one and range sorted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastecore.plans.ordering import running_totals
 
-# A sketch of this size errs by about 0.13 % in rank; the brackets allow for more than twice that.
+# A sketch of this size errs by about 0.13 % in rank; the marks allow for more than twice that. It holds all of that many values.
 SKETCH_SIZE = 4_096
 REACH = 0.003
 # Sketches that meet in the last task.
 MERGED_GROUPS = 64
 
-Bracket = tuple[object, object]
+Ranks = Callable[[int], list[int]]
 
 
-def _sketches(df: DataFrame, cols: Sequence[str], size: int) -> DataFrame:
-    """One row with a struct (n, lo, hi, total, sketch) per column."""
+def _number(df: DataFrame, col: str) -> Column:
+    """What is sketched: the value where it is a number, else nothing."""
+    if not isinstance(df.schema[col].dataType, T.NumericType):
+        return F.lit(None).cast("double")
+    value = F.col(col).cast("double")
+    return F.when(~F.isnan(value), value)
 
-    def number(c: str) -> Column:
-        """What is sketched: the value where it is a number, else nothing."""
-        numeric = isinstance(df.schema[c].dataType, T.NumericType)
-        return (F.col(c) if numeric else F.lit(None)).cast("double")
-
-    def first(c: str) -> list[Column]:
-        return [
-            F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.sum(number(c)).alias("total"),
-            F.kll_sketch_agg_double(number(c), F.lit(size)).alias("sketch"),
-        ]
-
-    def merged(c: str) -> list[Column]:
-        return [
-            F.sum(f"{c}.n").alias("n"), F.min(f"{c}.lo").alias("lo"), F.max(f"{c}.hi").alias("hi"), F.sum(f"{c}.total").alias("total"),
-            F.kll_merge_agg_double(f"{c}.sketch", F.lit(size)).alias("sketch"),
-        ]
 
+def _sketched(df: DataFrame, values: Mapping[str, Column], size: int, counts: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row: a sketch per name, the numbers of rows where each of `counts` holds, summed in two levels."""
+    counts = counts or {}
     group = (F.spark_partition_id() % MERGED_GROUPS).alias("_group")
-    names = [f"_c{i}" for i in range(len(cols))]
-    level = df.select(*cols, group).groupBy("_group").agg(*[F.struct(*first(c)).alias(n) for c, n in zip(cols, names)])
-    return level.agg(*[F.struct(*merged(n)).alias(c) for c, n in zip(cols, names)])
-
-
-def _brackets(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float]
-) -> tuple[dict[str, int], dict[str, list[Bracket]], dict[str, dict]]:
-    """Per column its number of values, disjoint, rising ranges that hold the quantiles, and its ends and mean.
-
-    Values that a double cannot hold get one range for all. Only these few
-    numbers per column reach the driver.
-    """
-    inner = sorted({p for p in probs if 0 < p < 1})
-    ends = [min(1.0, max(0.0, p + side)) for p in inner for side in (-REACH, REACH)]
-    rows = _sketches(df, cols, SKETCH_SIZE)
-
-    def read(c: str) -> Column:
-        known = F.kll_sketch_get_n_double(f"{c}.sketch") > 0
-        marks = [F.when(known, F.kll_sketch_get_quantile_double(f"{c}.sketch", F.lit(e))) for e in ends]
-        return F.struct(f"{c}.n", f"{c}.lo", f"{c}.hi", f"{c}.total", F.array(*marks).alias("ends")).alias(c)
-
-    row = rows.select(*[read(c) for c in cols]).head()
-    found, facts = {}, {}
-    for c in cols:
-        low, high, marks = row[c]["lo"], row[c]["hi"], row[c]["ends"]
-        facts[c] = {"min": low, "max": high, "mean": row[c]["total"] / row[c]["n"] if row[c]["n"] and row[c]["total"] is not None else None}
-        if low is None or not _fits_double(low, high) or None in marks:
-            found[c] = [(low, high)] if low is not None else []
-            continue
-        ranges = [(low, low), *zip(marks[::2], marks[1::2]), (high, high)]
-        merged = [ranges[0]]
-        for start, end in ranges[1:]:
-            if start <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(merged[-1][1], end))
-            else:
-                merged.append((start, end))
-        found[c] = merged
-    return {c: row[c]["n"] for c in cols}, found, facts
+    first = [F.kll_sketch_agg_double(v, F.lit(size)).alias(n) for n, v in values.items()]
+    first += [F.count(F.when(c, 1)).alias(n) for n, c in counts.items()]
+    level = df.select(*df.columns, group).groupBy("_group").agg(*first)
+    merged = [F.kll_merge_agg_double(n, F.lit(size)).alias(n) for n in values]
+    return level.agg(*merged, *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts])
+
+
+def _read_sketches(spark: SparkSession, asked: Sequence[tuple[bytes, Sequence[float]]]) -> list[list[float]]:
+    """The values at the given shares of the rows, per sketch."""
+    reads = [F.kll_sketch_get_quantile_double(F.lit(bytearray(s)), F.array(*[F.lit(float(p)) for p in shares])) for s, shares in asked]
+    return [list(found) for found in spark.range(1).select(*[r.alias(f"q{i}") for i, r in enumerate(reads)]).head()] if reads else []
+
+
+@dataclass
+class _Wanted:
+    """A rank, counted from 1, of a column; it lies between `low` and `high` (exclusive, None: no bound)."""
+
+    col: str
+    rank: int
+    near: int  # the rank that the marks surround: the same for two ranks in a row
+    below: int = 0  # rows up to and including `low`
+    low: float | None = None
+    high: float | None = None
+    marks: tuple[float, float] | None = None
+    value: float | None = None
+
+    def inside(self, value: Column) -> Column:
+        found = F.lit(True)
+        if self.low is not None:
+            found = found & (value > F.lit(self.low))
+        if self.high is not None:
+            found = found & (value < F.lit(self.high))
+        return found
+
+    def place(self) -> tuple:
+        return self.col, self.low, self.high, self.marks
+
+    def shares(self, n: int) -> list[float]:
+        """The rank's place among the n rows inside, between those of the marks."""
+        middle = (self.near - self.below - 0.5) / n
+        return [min(1.0, max(0.0, middle - REACH)), (self.rank - self.below - 0.5) / n, min(1.0, max(0.0, middle + REACH))]
+
+    def narrow(self, counts: Sequence[int]) -> int:
+        """Take counts (below, at, between, at the upper mark) in; returns the rows that were sketched and still hold the rank, or 0."""
+        under, at, between, above = counts
+        start = self.below + under
+        if self.marks is None:
+            return between
+        low, high = self.marks
+        self.marks = None
+        if self.rank <= start:
+            self.high = low
+        elif self.rank <= start + at:
+            self.value = low
+        elif self.rank <= start + at + between:
+            self.below, self.low, self.high = start + at, low, high
+            return between
+        elif self.rank <= start + at + between + above:
+            self.value = high
+        else:
+            self.below, self.low = start + at + between + above, high
+        return 0
+
+
+def _round(df: DataFrame, open_ranks: Sequence[_Wanted]) -> None:
+    """One aggregate for all ranks that are not found yet."""
+    number = {w.col: _number(df, w.col) for w in open_ranks}
+    places = list(dict.fromkeys(w.place() for w in open_ranks))
+    values, counts = {}, {}
+    for i, place in enumerate(places):
+        wanted = next(w for w in open_ranks if w.place() == place)
+        value, inside = number[wanted.col], wanted.inside(number[wanted.col])
+        below, at, above = (F.lit(False),) * 3
+        between = inside
+        if wanted.marks:
+            low, high = (F.lit(m) for m in wanted.marks)
+            below, at = inside & (value < low), value == low
+            between, above = (value > low) & (value < high), (value == high) & (value > low)
+        values[f"s{i}"] = F.when(between, value)
+        counts |= {f"b{i}": below, f"a{i}": at, f"m{i}": between & value.isNotNull(), f"u{i}": above}
+    rows = df.select(*dict.fromkeys(w.col for w in open_ranks))
+    if all(w.low is not None or w.high is not None for w in open_ranks):
+        rows = rows.filter(reduce(or_, [w.inside(F.col(w.col)) for w in open_ranks]))
+    row = _sketched(rows, values, SKETCH_SIZE, counts).head()
+    asked = []
+    for wanted in open_ranks:
+        i = places.index(wanted.place())
+        n = wanted.narrow([row[f"{k}{i}"] for k in "bamu"])
+        if n:
+            asked.append((wanted, n, row[f"s{i}"]))
+    _take_marks(df.sparkSession, asked)
+
+
+def _take_marks(spark: SparkSession, asked: Sequence[tuple[_Wanted, int, bytes]]) -> None:
+    found = _read_sketches(spark, [(sketch, wanted.shares(n)) for wanted, n, sketch in asked])
+    for (wanted, n, _), (low, middle, high) in zip(asked, found):
+        if n <= SKETCH_SIZE:
+            wanted.value = middle
+        else:
+            wanted.marks = (low, high)
 
 
 def _fits_double(low, high) -> bool:
@@ -95,64 +155,66 @@ def _fits_double(low, high) -> bool:
     return all(v is None or isinstance(v, float) or (isinstance(v, int) and abs(v) <= 2**53) for v in (low, high))
 
 
-def _coarse(col: str, brackets: Sequence[Bracket]) -> Column:
-    """struct(value, gap): the value itself inside a bracket, the end of the bracket below outside."""
-    value = F.col(col)
-
-    def key(v: Column, gap: int) -> Column:
-        return F.struct(v.alias("value"), F.lit(gap).alias("gap"))
-
-    if not brackets:
-        return key(value, 0)
-    out = key(F.lit(brackets[-1][1]), 1)
-    for i in reversed(range(len(brackets))):
-        low, high = brackets[i]
-        out = F.when((value >= F.lit(low)) & (value <= F.lit(high)), key(value, 0)).otherwise(out)
-        if i:
-            below = F.lit(brackets[i - 1][1])
-            out = F.when((value > below) & (value < F.lit(low)), key(below, 1)).otherwise(out)
-    return out
-
+def _counted(df: DataFrame, col: str) -> DataFrame:
+    """(value, rows, seen): seen counts the rows up to and including the value."""
+    counts = df.select(F.col(col).alias("value")).filter("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+    return running_totals(counts, ["value"], {"seen": F.col("rows")})
 
-def _counted(df: DataFrame, cols: Sequence[str], brackets: Mapping[str, Sequence[Bracket]]) -> DataFrame:
-    """(column, value, gap, rows, seen): seen counts the rows up to and including the value."""
-    coarse = [_coarse(c, brackets[c]).alias(c) for c in cols]
-    long = df.select(*coarse).unpivot([], list(cols), "column", "key").select("column", "key.value", "key.gap")
-    counts = (
-        long.filter(F.col("value").isNotNull())
-        .groupBy("column", "value", "gap")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    return running_totals(counts, ["value", "gap"], {"seen": F.col("rows")}, ["column"])
 
+def at_ranks(df: DataFrame, cols: Sequence[str], ranks: Ranks) -> dict[str, dict]:
+    """Per column its number of values `n`, `min`, `max`, `mean`, and `at`: the values at ranks(n), counted from 1; empty without values.
 
-def _at_rank(rank: Column) -> Column:
-    """struct(value, gap) at a rank counted from 1.
-
-    Minima of plain numbers, which a hash aggregate can update in place.
+    NaN comes after all other numbers. Only these few numbers per column reach the driver.
     """
-    reached = F.col("seen") >= rank
-    exact = F.min(F.when(reached & (F.col("gap") == 0), F.col("seen")))
-    missed = F.min(F.when(reached & (F.col("gap") == 1), F.col("seen")))
-    gap = F.when(missed.isNotNull() & (exact.isNull() | (missed < exact)), 1).otherwise(0)
-    return F.struct(F.min(F.when(reached, F.col("value"))).alias("value"), gap.alias("gap"))
-
-
-def _by_rank(df: DataFrame, sizes: Mapping[str, int], brackets: Mapping[str, Sequence[Bracket]], ranks) -> DataFrame:
-    """One row per column: its size `n` and `at`, the array of structs at ranks(n)."""
-    cols = list(brackets)
-    # One row per column of the input.
-    known = df.sparkSession.createDataFrame([(c, sizes[c]) for c in cols], "column string, n long")
+    numbers = {c: _number(df, c) for c in cols}
+    rows = df.select(*cols)
+    facts = rows.select("*", F.struct(*[numbers[c].alias(c) for c in cols]).alias("_numbers"))
+    group = (F.spark_partition_id() % MERGED_GROUPS).alias("_group")
+    first, last = [], []
+    for i, c in enumerate(cols):
+        number = F.col("_numbers")[c]
+        first += [
+            F.count(F.col(c)).alias(f"n{i}"), F.count(number).alias(f"k{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}"),
+            F.max(number).alias(f"x{i}"), F.sum(F.col(c).cast("double") if isinstance(df.schema[c].dataType, T.NumericType) else F.lit(None).cast("double")).alias(f"t{i}"),
+            F.kll_sketch_agg_double(number, F.lit(SKETCH_SIZE)).alias(f"s{i}"),
+        ]
+        last += [
+            *[F.coalesce(F.sum(f"{k}{i}"), F.lit(0)).alias(f"{k}{i}") for k in "nk"], F.min(f"l{i}").alias(f"l{i}"), F.max(f"h{i}").alias(f"h{i}"),
+            F.max(f"x{i}").alias(f"x{i}"), F.sum(f"t{i}").alias(f"t{i}"), F.kll_merge_agg_double(f"s{i}", F.lit(SKETCH_SIZE)).alias(f"s{i}"),
+        ]
+    row = facts.select("*", group).groupBy("_group").agg(*first).agg(*last).head()
+    found: dict[str, dict] = {}
+    wanted: list[_Wanted] = []
+    asked = []
+    for i, c in enumerate(cols):
+        n, known, low, high = (row[f"{k}{i}"] for k in "nklh")
+        places = ranks(n) if n else []
+        mean = row[f"t{i}"] / n if n and row[f"t{i}"] is not None else None
+        found[c] = {"n": n, "min": low, "max": high, "mean": mean}
+        if n and (not _fits_double(low, high) or not isinstance(df.schema[c].dataType, T.NumericType)):
+            seen = _counted(rows, c)
+            found[c]["at"] = list(seen.agg(*[F.min(F.when(F.col("seen") >= F.lit(r), F.col("value"))).alias(f"r{j}") for j, r in enumerate(places)]).head())
+            continue
+        mine = [_Wanted(c, r, r - 1 if r - 1 in places else r) for r in places]
+        for w in mine:
+            if w.rank > known:
+                w.value = float("nan")
+            elif w.rank == 1 or w.rank == known:
+                w.value = low if w.rank == 1 else row[f"x{i}"]
+            else:
+                asked.append((w, known, row[f"s{i}"]))
+        wanted += mine
+        found[c]["at"] = mine
+    _take_marks(df.sparkSession, asked)
+    while open_ranks := [w for w in wanted if w.value is None]:
+        _round(rows, open_ranks)
+    for fact in found.values():
+        fact["at"] = [w.value if isinstance(w, _Wanted) else w for w in fact["at"]]
+    return found
 
-    def pick(seen: DataFrame) -> DataFrame:
-        at = F.array(*[_at_rank(r) for r in ranks(F.col("n"))])
-        return seen.join(F.broadcast(known), "column").groupBy("column", "n").agg(at.alias("at"))
 
-    found = pick(_counted(df, cols, brackets))
-    rows = found.collect()
-    if any(place["gap"] for row in rows for place in row["at"]):
-        return pick(_counted(df, cols, {c: [] for c in cols}))
-    return df.sparkSession.createDataFrame(rows, found.schema)
+def _discrete(probs: Sequence[float]) -> Ranks:
+    return lambda n: [min(n, max(1, math.ceil(p * n))) for p in probs]
 
 
 def quantiles(
@@ -165,67 +227,65 @@ def quantiles(
     with a probability of 99 %.
     """
     probs = [float(p) for p in probs]
-    keys = F.array(*[F.lit(p) for p in probs])
     kind = df.schema[col].dataType
-    value = F.col("q.at")
     if error > 0:
         size = min(65_535, max(8, round((2.296 / error) ** (1 / 0.9021))))
-        sketch = F.col(f"{col}.sketch")
-        marks = [F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(p))) for p in probs]
-        found = _sketches(df, [col], size).select(F.array(*marks).alias("at"))
-    else:
-        sizes, brackets, _ = _brackets(df, [col], probs)
-        if not sizes[col]:
-            return df.sparkSession.createDataFrame([(p, None) for p in probs], T.StructType().add("prob", "double").add("value", kind))
-        found = _by_rank(df, sizes, brackets, lambda n: [F.greatest(F.lit(1), F.ceil(F.lit(p) * n)) for p in probs])
-        value = F.col("q.at.value")
-    pairs = found.select(F.explode(F.arrays_zip(keys.alias("prob"), "at")).alias("q"))
-    return pairs.select(F.col("q.prob").alias("prob"), value.cast(kind).alias("value"))
+        sketch = _sketched(df.select(col), {"sketch": _number(df, col)}, size)
+        marks = F.when(F.kll_sketch_get_n_double("sketch") > 0, F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(p) for p in probs])))
+        pairs = sketch.select(F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("prob"), marks.alias("value"))).alias("q"))
+        return pairs.select("q.prob", F.col("q.value").cast(kind).alias("value"))
+    at = at_ranks(df, [col], _discrete(probs))[col]["at"] or [None] * len(probs)
+    return df.sparkSession.range(1).select(F.inline(F.array(*[F.struct(F.lit(p).alias("prob"), F.lit(v).cast(kind).alias("value")) for p, v in zip(probs, at)])))
 
 
 def quantile_value(df: DataFrame, col: str, q: float) -> Column:
-    """One exact discrete quantile as a scalar subquery."""
-    return quantiles(df, col, [q]).select("value").scalar()
-
+    """One exact discrete quantile as a literal; null without values."""
+    return quantile_values([(df, col)], q)[0]
 
-QUARTILES = (0.25, 0.5, 0.75)
 
+def quantile_values(columns: Sequence[tuple[DataFrame, str]], q: float) -> list[Column]:
+    """The q-quantiles of columns of different tables as literals, all found in the same rounds."""
+    names = [f"_c{i}" for i in range(len(columns))]
+    kinds = [df.schema[col].dataType for df, col in columns]
+    parts = [
+        df.select(*[(F.col(col) if i == j else F.lit(None).cast(kind)).alias(name) for j, (name, kind) in enumerate(zip(names, kinds))])
+        for i, (df, col) in enumerate(columns)
+    ]
+    found = at_ranks(reduce(DataFrame.unionAll, parts), names, _discrete([q]))
+    return [F.lit(found[name]["at"][0] if found[name]["at"] else None).cast(kind) for name, kind in zip(names, kinds)]
 
-def _quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """min, mean, max and the interpolated quartiles q1, median, q3 per column; null for a column without values."""
-    sizes, brackets, facts = _brackets(df, cols, QUARTILES)
 
-    def ranks(n: Column) -> list[Column]:
-        places = [F.lit(p) * (n - 1) for p in QUARTILES]
-        return [side(place) + 1 for place in places for side in (F.floor, F.ceil)]
+QUARTILES = (0.25, 0.5, 0.75)
+SUMMARY = "column string, min double, q1 double, median double, mean double, q3 double, max double"
 
-    def between(i: int) -> Column:
-        place = F.lit(QUARTILES[i]) * (F.col("n") - 1)
-        low, high = F.col("at")[2 * i].value, F.col("at")[2 * i + 1].value
-        return low + (high - low) * (place - F.floor(place))
 
-    known = [(c, facts[c]["min"], facts[c]["mean"], facts[c]["max"]) for c in cols]
-    ends = df.sparkSession.createDataFrame(known, "column string, min double, mean double, max double")
-    filled = {c: brackets[c] for c in cols if sizes[c]}
-    if not filled:
-        return ends.select("*", *[F.lit(None).cast("double").alias(n) for n in ("q1", "median", "q3")])
-    found = _by_rank(df, sizes, filled, ranks)
-    found = found.select("column", *[between(i).alias(n) for i, n in enumerate(("q1", "median", "q3"))])
-    # Broadcast bound: one row per column of the input.
-    return ends.join(F.broadcast(found), "column", "left")
+def _quartile_ranks(n: int) -> list[int]:
+    places = [p * (n - 1) for p in QUARTILES]
+    return [side(place) + 1 for place in places for side in (math.floor, math.ceil)]
 
 
-def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+def _quartiles(df: DataFrame, cols: Sequence[str]) -> list[dict]:
+    """min, mean, max and the interpolated quartiles q1, median, q3 per column; null for a column without values."""
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    rows = []
+    for c, fact in at_ranks(numbers, cols, _quartile_ranks).items():
+        row = {"column": c, "min": fact["min"], "mean": fact["mean"], "max": fact["max"], "q1": None, "median": None, "q3": None}
+        for i, name in enumerate(("q1", "median", "q3")):
+            if fact["at"]:
+                low, high = fact["at"][2 * i : 2 * i + 2]
+                place = QUARTILES[i] * (fact["n"] - 1)
+                row[name] = low if low == high else low + (high - low) * (place - math.floor(place))
+        rows.append(row)
+    return rows
 
 
 def summary_quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """min, Q1, median, mean, Q3, max per column; quartiles are interpolated."""
-    found = _quartiles(_numbers(df, cols), cols)
-    return found.select("column", "min", "q1", "median", "mean", "q3", "max")
+    names = ["column", "min", "q1", "median", "mean", "q3", "max"]
+    return df.sparkSession.createDataFrame([tuple(row[n] for n in names) for row in _quartiles(df, cols)], SUMMARY)
 
 
 def interquartile_range(df: DataFrame, col: str) -> Column:
-    """Interpolated Q3 - Q1 as a scalar subquery."""
-    row = _quartiles(_numbers(df, [col]), [col])
-    return row.select(F.col("q3") - F.col("q1")).scalar()
+    """Interpolated Q3 - Q1 as a literal; null without values."""
+    row = _quartiles(df, [col])[0]
+    return F.lit(None if row["q1"] is None else row["q3"] - row["q1"]).cast("double")

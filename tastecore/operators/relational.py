@@ -41,7 +41,7 @@ def filter_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def filter_below_quantile(df: DataFrame, col: str, q: float, strict: bool = True) -> DataFrame:
     """Rows below (or at) an exact quantile of the same column.
 
-    The threshold is a scalar subquery, so it also reaches the parquet scan.
+    The threshold is a literal, so it also reaches the parquet scan.
     """
     threshold = quantile_value(df, col, q)
     return df.filter(F.col(col) < threshold if strict else F.col(col) <= threshold)

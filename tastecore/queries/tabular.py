@@ -293,8 +293,9 @@ _QUANTILES = "SELECT '{t}' AS measure, {p}::DOUBLE AS prob, quantile_disc({c}, {
     ),
 )
 def exact_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    songs = quantiles.quantiles(stage(popularity(spark, sf_dir), "songs"), "playcount")
-    users = quantiles.quantiles(stage(aggregates.user_activity(matched(spark, sf_dir)), "users"), "songcount")
+    rows, bad = triplets_table(spark, sf_dir), mismatches(spark, sf_dir)
+    songs = quantiles.quantiles(stage(aggregates.matched_popularity(rows, bad), "songs"), "playcount")
+    users = quantiles.quantiles(stage(aggregates.user_activity(joins.remove_mismatches(rows, bad)), "users"), "songcount")
     return relational.union_all(
         [songs.withColumn("measure", F.lit("songs")), users.withColumn("measure", F.lit("users"))]
     ).select("measure", "prob", "value")

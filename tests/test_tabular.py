@@ -124,21 +124,62 @@ def _skewed(spark):
 
 
 @pytest.mark.parametrize("probs", [(0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0), (0.05,), (0.0, 1.0)])
-def test_bracketed_quantiles_are_exact(spark, monkeypatch, many_chunks, probs):
+def test_bracketed_quantiles_are_exact(spark, many_chunks, probs):
     df = _skewed(spark)
     want = [r["value"] for r in quantiles.quantiles(df, "v", probs).orderBy("prob").collect()]
     values = sorted(r["v"] for r in df.dropna().collect())
     assert want == [values[max(0, math.ceil(p * len(values)) - 1)] for p in probs]
-    _, brackets, _ = quantiles._brackets(df, ["v"], probs)
-    assert quantiles._counted(df, ["v"], brackets).count() < 2500
 
 
-def test_missed_bracket_falls_back(spark, monkeypatch):
+def test_missed_marks_cost_a_round_only(spark, monkeypatch):
     df = _skewed(spark)
     want = quantiles.summary_quartiles(df, ["v"]).head()
-    sizes, _, facts = quantiles._brackets(df, ["v"], [0.5])
-    monkeypatch.setattr(quantiles, "_brackets", lambda *_: (sizes, {"v": [(0.0, 0.0), (99.0, 99.5)]}, facts))
-    assert quantiles.summary_quartiles(df, ["v"]).head() == want
+    read, turns = quantiles._read_sketches, []
+
+    def wrong(spark, asked):
+        """Marks far below, then far above all wanted ranks, in the first two rounds."""
+        turns.append(len(asked))
+        found = read(spark, asked)
+        return [[0.1, q[1], 0.2] if len(turns) == 1 else [99.0, q[1], 99.5] for q in found] if len(turns) < 3 else found
+
+    monkeypatch.setattr(quantiles, "_read_sketches", wrong)
+    assert quantiles.summary_quartiles(df, ["v"]).head() == want and len(turns) > 3
+
+
+@pytest.mark.parametrize("size", [16, 64])
+def test_many_rounds_with_small_sketches(spark, monkeypatch, size):
+    """Sketches that err a lot, equal values at the marks, infinities, NaN, and two values only."""
+    monkeypatch.setattr(quantiles, "SKETCH_SIZE", size)
+    monkeypatch.setattr(quantiles, "REACH", 0.05)
+    probs = [i / 20 for i in range(21)]
+    noise = F.when(F.col("id") % 50 == 0, float("inf")).when(F.col("id") % 50 == 1, float("nan")).when(F.col("id") % 50 == 2, float("-inf"))
+    for value in (noise.otherwise(F.col("id") * 7919 % 5003), (F.col("id") % 3 == 0).cast("int"), F.col("id") * 7919 % 5003):
+        df = spark.range(5_000).select(value.alias("v")).repartition(5)
+        values = sorted((r["v"] for r in df.collect()), key=lambda v: (v != v, v))
+        found = [r["value"] for r in quantiles.quantiles(df, "v", probs).orderBy("prob").collect()]
+        want = [values[max(0, math.ceil(p * len(values)) - 1)] for p in probs]
+        assert [repr(v) for v in found] == [repr(v) for v in want]
+
+
+def test_a_sketch_holds_all_values_of_its_size(spark):
+    df = spark.range(quantiles.SKETCH_SIZE).select((F.col("id") * 7919 % 10007).cast("double").alias("v")).repartition(9)
+    sketch = quantiles._sketched(df, {"s": F.col("v")}, quantiles.SKETCH_SIZE).head()["s"]
+    n = quantiles.SKETCH_SIZE
+    found = quantiles._read_sketches(spark, [(sketch, [(i + 0.5) / n for i in range(n)])])[0]
+    assert found == sorted(r["v"] for r in df.collect())
+
+
+def test_quantiles_of_tables_in_the_same_rounds(spark):
+    few, many = spark.range(1, 8).withColumnRenamed("id", "a"), _skewed(spark)
+    a, b = quantiles.quantile_values([(few, "a"), (many, "v")], 0.25)
+    row = spark.range(1).select(a.alias("a"), b.alias("b")).head()
+    assert (row["a"], row["b"]) == (2, quantiles.quantiles(many, "v", [0.25]).head()["value"])
+
+
+def test_quantiles_of_words_and_dates(spark):
+    df = spark.createDataFrame([(w, f"2020-01-0{i + 1}") for i, w in enumerate("edcba")], "w string, d string").select("w", F.to_date("d").alias("d"))
+    assert [r["value"] for r in quantiles.quantiles(df, "w", [0.0, 0.5, 1.0]).orderBy("prob").collect()] == ["a", "c", "e"]
+    assert str(quantiles.quantiles(df, "d", [0.5]).head()["value"]) == "2020-01-03"
 
 
 def test_bracketed_quartiles_interpolate(spark):
@@ -156,8 +197,8 @@ def test_quartiles_are_the_same_whatever_the_partitions(spark):
 
 def test_last_task_reads_as_many_sketches_for_any_input(spark, many_chunks):
     for parts in (100, 300):
-        plan = quantiles._sketches(_skewed(spark).repartition(parts), ["v"], 200)
-        inner = plan.select(F.kll_sketch_get_n_double("v.sketch")).head()[0]
+        plan = quantiles._sketched(_skewed(spark).repartition(parts), {"s": F.col("v")}, 200)
+        inner = plan.select(F.kll_sketch_get_n_double("s")).head()[0]
         groups = _skewed(spark).repartition(parts).select((F.spark_partition_id() % quantiles.MERGED_GROUPS).alias("g")).distinct().count()
         assert inner == _skewed(spark).dropna().count() and groups <= quantiles.MERGED_GROUPS
 
