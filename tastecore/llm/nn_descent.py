@@ -3,14 +3,16 @@
 The graph starts from blocks of vectors that lie near each other along random hyperplanes, compared
 within the block. Then neighbours of neighbours are joined: around every node, a drawn part of its
 neighbours and of the nodes it is a neighbour of are compared with each other, and each keeps its nearest.
-A node's part is bounded whatever the number of nodes that name it.
+A node's part is bounded whatever the number of nodes that name it. Rounds go on until fewer than SETTLED of all
+neighbours are new; every change brings a node nearer neighbours, so they end.
 
 Search is greedy over the graph and its reverse, for all queries at once: the nearest nodes seen that
 were not opened yet are opened, their neighbours compared, and the nearest `beam` kept, until all of those
 are opened. A query starts at drawn entry nodes and, if it is a row of the index, at its own node.
 
-Graph and walk compare the original components, held as they are in the table (float or double) and
-subtracted in doubles, so neither one very long vector nor near copies change what is near.
+Graph and walk compare the original components, held as they are in the table (float or double), in doubles: the
+graph by products around the mean of the vectors that are compared with each other, the walk by differences.
+So neither one very long vector nor near copies change what is near.
 
 Equal vectors are one node. Edge cases: see `vectors.usable`; zero vectors take no part; with few
 candidates all are returned; ties go to the smaller id; without candidates a query has no rows.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,8 @@ from tastecore.plans.staging import stage
 
 NEIGHBOURS = 30
 STARTS, BLOCK, BLOCK_NEIGHBOURS = 8, 512, 15
-ROUNDS, DRAWN = 2, 12
+DRAWN = 12
+SETTLED = 0.05  # share of new neighbours after which the graph is done
 ENTRIES, BEAM, OPENED = 1_024, 200, 100
 PLANES = 10
 
@@ -46,6 +50,7 @@ def _codes(codes: Sequence[bytes], kind: str) -> np.ndarray:
 
 def _apart(a: np.ndarray) -> np.ndarray:
     """Squared distances between all rows; infinite to itself."""
+    a = a - a.mean(0)
     square = (a * a).sum(1)
     apart = np.maximum(square[:, None] + square - 2 * (a @ a.T), 0)
     np.fill_diagonal(apart, np.inf)
@@ -79,16 +84,16 @@ def _block_pairs(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.Re
 def _regrouped(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The rows in batches of exactly `size`, but for the last."""
     held: list[pa.RecordBatch] = []
-    count = 0
+    rows = 0
     for batch in batches:
         while batch.num_rows:
-            part = batch.slice(0, size - count)
+            part = batch.slice(0, size - rows)
             held.append(part)
-            count += part.num_rows
+            rows += part.num_rows
             batch = batch.slice(part.num_rows)
-            if count == size:
+            if rows == size:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, count = [], 0
+                held, rows = [], 0
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
@@ -117,8 +122,8 @@ def _around(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordB
 
 
 def _nearest(pairs: DataFrame, most: int) -> DataFrame:
-    """The `most` nearest different others of each node; one exchange by node serves both steps."""
-    once = pairs.repartition("node").groupBy("node", "other").agg(F.min("apart").alias("apart"))
+    """The `most` nearest different others of each node, `known` if a pair was; one exchange by node serves both steps."""
+    once = pairs.repartition("node").groupBy("node", "other").agg(F.min("apart").alias("apart"), F.max("known").alias("known"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("apart", "other"))
     return once.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
 
@@ -135,16 +140,19 @@ def build_graph(codes: DataFrame, total: int, kind: str, seed: int = 0) -> DataF
         sides = map_arrow(codes, lambda rows, p=planes, m=middle: _sides(rows, kind, p, m), "node long, code binary, side long, along double")
         ordered = sides.repartitionByRange("side", "along", "node").sortWithinPartitions("side", "along", "node").select("node", "code")
         starts.append(map_arrow(ordered, lambda rows: _block_pairs(rows, kind), PAIRS))
-    graph = stage(_nearest(reduce(DataFrame.unionAll, starts), NEIGHBOURS), "graph")
-    for turn in range(ROUNDS):
+    graph = stage(_nearest(reduce(DataFrame.unionAll, starts).withColumn("known", F.lit(False)), NEIGHBOURS), "graph")
+    for turn in count():
         chance = F.pmod(F.xxhash64("node", "other", F.lit(turn)), F.lit(1 << 30))
         ahead = graph.filter(chance < F.lit(int((1 << 30) * DRAWN / NEIGHBOURS))).select(F.col("node").alias("center"), F.col("other").alias("node"))
         back = ranked(graph.select(F.col("other").alias("center"), "node", chance.alias("_draw")), "center", [F.col("_draw"), F.col("node")], DRAWN).select("center", "node")
         farthest = graph.groupBy("node").agg(F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.max("apart")).otherwise(F.lit(float("inf"))).alias("farthest"))
         around = ahead.unionAll(back).distinct().join(codes, "node").join(farthest, "node")
         met = around.select("center", "node", "code", "farthest").repartition("center").sortWithinPartitions("center")
-        graph = stage(_nearest(graph.unionAll(map_arrow(met, lambda rows: _around(rows, kind), PAIRS)), NEIGHBOURS), "graph")
-    return graph
+        found = map_arrow(met, lambda rows: _around(rows, kind), PAIRS).withColumn("known", F.lit(False))
+        graph = stage(_nearest(graph.withColumn("known", F.lit(True)).unionAll(found), NEIGHBOURS), "graph")
+        edges, new = graph.agg(F.count(F.lit(1)), F.count(F.when(~F.col("known"), 1))).head()
+        if new <= SETTLED * edges:
+            return graph.drop("known")
 
 
 def _first_nodes(batches: Iterator[pa.RecordBatch], kind: str, entries: np.ndarray, codes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
@@ -198,9 +206,9 @@ def greedy_search(graph: DataFrame, codes: DataFrame, queries: DataFrame, total:
 def nearest_rows(table: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest other rows found, by Euclidean distance.
 
-    `queries` holds the vec_id of the rows that ask.
+    `queries` holds the vec_id of the rows that ask. A vec_id that stands in several rows is one row; of its vectors the smallest.
     """
-    rows = stage(usable(table, with_zero=False), "vectors")
+    rows = stage(usable(table, with_zero=False).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
     nodes, members = (stage(x, "classes") for x in classes(rows, "vector", k + 1))
     total = nodes.count()
     schema = "query_id long, rank int, vec_id long, score double"
@@ -208,7 +216,7 @@ def nearest_rows(table: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return table.sparkSession.createDataFrame([], schema)
     kind = "f4" if isinstance(table.schema["embedding"].dataType.elementType, FloatType) else "f8"
     codes = stage(map_arrow(nodes, lambda batches: _coded(batches, kind), "node long, code binary"), "codes")
-    asked = rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").dropDuplicates(["vec_id"])
+    asked = rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
     asked = asked.join(nodes, "vector").select(F.col("vec_id").alias("query_id"), "node", "vector")
     asked = stage(asked.join(codes, "node"), "queries")
     close = greedy_search(build_graph(codes, total, kind), codes, asked, total, kind, max(BEAM, k + 1)).select("query_id", "node")

@@ -91,6 +91,36 @@ def test_nn_descent_recall_with_an_outlier_and_near_copies(spark, schema):
         assert sum(hits) >= 0.95 * len(hits)
 
 
+def test_rounds_go_on_until_the_graph_settles(spark, monkeypatch):
+    """Starting blocks that compare a node with 62 of 4,000 others: rounds have to find the rest."""
+    monkeypatch.setattr(nn_descent, "BLOCK", 32)
+    monkeypatch.setattr(nn_descent, "STARTS", 2)
+    staged, graphs = nn_descent.stage, []
+
+    def counted(df, label="stage", *rest):
+        out = staged(df, label, *rest)
+        if label == "graph":
+            graphs.append((out.count(), out.filter("not known").count()))
+        return out
+
+    monkeypatch.setattr(nn_descent, "stage", counted)
+    vectors = np.random.default_rng(5).normal(0, 0.3, (4000, 12))
+    codes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(vectors)], "node long, code binary").repartition(4)
+    found = nn_descent.build_graph(codes, 4000, "f8").filter("node % 50 = 0").collect()
+    assert len(graphs) > 3 and graphs[-1][1] <= nn_descent.SETTLED * graphs[-1][0] < graphs[-2][1]
+    by_id = dict(enumerate(vectors))
+    hits = [i in {r.other for r in found if r.node == q} for q in range(0, 4000, 50) for _, i in nearest(by_id, q, 10)]
+    assert sum(hits) >= 0.9 * len(hits)
+
+
+def test_a_repeated_id_is_one_row_with_its_smallest_vector(spark):
+    rows = [(i, [float(i), 1.0], 0) for i in range(1, 30)] + [(5, [-40.0, 1.0], 0), (1, [1.0, 1.0], 0)]
+    for parts in (1, 7):
+        table = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        found = nn_descent.nearest_rows(table, table.filter("vec_id = 5"), 2).orderBy("rank").collect()
+        assert [(r.vec_id, r.score) for r in found] == [(1, 41.0), (2, 42.0)]
+
+
 def test_nn_descent_returns_all_of_few(spark):
     rows = [(i, [float(i), 1.0], 0) for i in range(7)] + [(7, [3.0, 1.0], 0)]
     table = spark.createDataFrame(rows, SCHEMA)
