@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tastecore.operators.features import assemble
 
@@ -33,6 +39,71 @@ def classifier(kind: str, features: str = "scfeatures", label: str = "label", **
     return KINDS[kind](featuresCol=features, labelCol=label, **params)
 
 
+def _side_by_side(session: SparkSession, function: Callable[[int], object], count: int, at_once: int) -> list:
+    """[function(0), function(1), ...] in threads, each call with local properties of its own.
+
+    Spark's own searches give one properties object to all their threads: a query that ends in one thread then
+    clears the execution id that a query starting in another one is about to read ("Cannot parse null string").
+    """
+    calls = [inheritable_thread_target(session)(partial(function, i)) for i in range(count)]
+    with ThreadPool(max(1, min(at_once, count))) as pool:
+        return pool.map(lambda call: call(), calls, chunksize=1)
+
+
+class GridSearch(CrossValidator):
+    """Spark's cross validation, its fits in threads with local properties of their own."""
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        estimator, points, evaluator = self.getEstimator(), self.getEstimatorParamMaps(), self.getEvaluator()
+        session, kept = dataset.sparkSession, self.getCollectSubModels()
+        scores, models = [], []
+        for folds in self._kFold(dataset):
+            train, validation = (rows.persist() for rows in folds)
+
+            def fitted(i: int) -> tuple[float, Model | None]:
+                model = estimator.fit(train, points[i])
+                return evaluator.evaluate(model.transform(validation, points[i])), model if kept else None
+
+            try:
+                found = _side_by_side(session, fitted, len(points), self.getParallelism())
+            finally:
+                train.unpersist()
+                validation.unpersist()
+            scores.append([score for score, _ in found])
+            models.append([model for _, model in found])
+        means = np.mean(scores, axis=0)
+        best = int(np.argmax(means) if evaluator.isLargerBetter() else np.argmin(means))
+        chosen = estimator.fit(dataset, points[best])
+        return self._copyValues(CrossValidatorModel(chosen, means.tolist(), models if kept else None, np.std(scores, axis=0).tolist()))
+
+
+class ClassesAgainstRest(OneVsRest):
+    """Spark's one-vs-rest, its fits in threads with local properties of their own."""
+
+    def _fit(self, dataset: DataFrame) -> OneVsRestModel:
+        base, label, features = self.getClassifier(), self.getLabelCol(), self.getFeaturesCol()
+        classes = int(dataset.agg(F.max(label)).head()[0]) + 1
+        weight = self.getWeightCol() if self.isDefined(self.weightCol) and base.hasParam("weightCol") else None
+        rows = dataset.select(label, features, *([weight] if weight else []))
+        own_cache = dataset.storageLevel == StorageLevel(False, False, False, False)
+
+        def fitted(i: int) -> Model:
+            binary = f"mc2b${i}"
+            params = {base.labelCol: binary, base.featuresCol: features, base.predictionCol: self.getPredictionCol()}
+            if weight:
+                params[base.weightCol] = weight
+            return base.fit(rows.withColumn(binary, F.when(F.col(label) == float(i), 1.0).otherwise(0.0)), params)
+
+        if own_cache:
+            rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            models = _side_by_side(dataset.sparkSession, fitted, classes, self.getParallelism())
+        finally:
+            if own_cache:
+                rows.unpersist()
+        return self._copyValues(OneVsRestModel(models=models))
+
+
 def cross_validate(
     estimator: Estimator,
     grid: Mapping[str, Sequence],
@@ -41,7 +112,7 @@ def cross_validate(
     fold_col: str | None = None,
     seed: int = 1,
     parallelism: int = 4,
-) -> CrossValidator:
+) -> GridSearch:
     """Grid search over parameters of `estimator` itself.
 
     With `fold_col` (see sampling.with_folds) the folds do not depend on how
@@ -53,7 +124,7 @@ def cross_validate(
     evaluator = MulticlassClassificationEvaluator(
         metricName=metric, labelCol=estimator.getLabelCol(), predictionCol=estimator.getPredictionCol()
     )
-    search = CrossValidator(
+    search = GridSearch(
         estimator=estimator,
         estimatorParamMaps=points.build(),
         evaluator=evaluator,
@@ -68,7 +139,7 @@ def one_vs_rest(
     base: Estimator, features: str = "scfeatures", label: str = "label", parallelism: int = 4
 ) -> OneVsRest:
     """One binary model per class on the same feature column as `base`."""
-    return OneVsRest(classifier=base, featuresCol=features, labelCol=label, parallelism=parallelism)
+    return ClassesAgainstRest(classifier=base, featuresCol=features, labelCol=label, parallelism=parallelism)
 
 
 def decision_surface(model: Model, mesh: DataFrame, features: Sequence[str], vector: str = "features") -> DataFrame:
