@@ -17,11 +17,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastecore.operators.features import assemble
+from tastecore.plans.staging import stage
 
 KINDS = {
     "logistic": LogisticRegression,
@@ -39,6 +41,10 @@ def classifier(kind: str, features: str = "scfeatures", label: str = "label", **
     return KINDS[kind](featuresCol=features, labelCol=label, **params)
 
 
+PART_BYTES = 128 << 20  # of vectors in a partition that a search trains on
+MOST_AT_ONCE = 32
+
+
 def _side_by_side(session: SparkSession, function: Callable[[int], object], count: int, at_once: int) -> list:
     """[function(0), function(1), ...] in threads, each call with local properties of its own.
 
@@ -51,24 +57,35 @@ def _side_by_side(session: SparkSession, function: Callable[[int], object], coun
 
 
 class GridSearch(CrossValidator):
-    """Spark's cross validation, its fits in threads with local properties of their own."""
+    """Spark's cross validation, its fits side by side on as few partitions as the size of the rows asks for.
+
+    In every pass each partition sends the statistics of all open tree nodes, however few rows it holds. So rows are
+    put together to partitions of PART_BYTES, and cores are filled by fits instead: at least `parallelism` of them at a time.
+    The rows are staged, not cached: a cached partition would draw all fits to the executor that holds it.
+    """
+
+    def _partitions(self, dataset: DataFrame) -> int:
+        estimator = self.getEstimator()
+        if not estimator.hasParam("featuresCol"):
+            return dataset.rdd.getNumPartitions()
+        width = F.max(F.size(vector_to_array(estimator.getOrDefault("featuresCol"))))
+        rows, values = dataset.agg(F.count(F.lit(1)), width).head()
+        return max(1, -(-rows * (values or 0) * 8 // PART_BYTES))
 
     def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
         estimator, points, evaluator = self.getEstimator(), self.getEstimatorParamMaps(), self.getEvaluator()
         session, kept = dataset.sparkSession, self.getCollectSubModels()
+        parts = self._partitions(dataset)
+        at_once = max(self.getParallelism(), min(MOST_AT_ONCE, session.sparkContext.defaultParallelism // parts))
         scores, models = [], []
-        for folds in self._kFold(dataset):
-            train, validation = (rows.persist() for rows in folds)
+        for folds in self._kFold(stage(dataset.coalesce(parts), "search")):
+            train, validation = (rows.coalesce(parts) for rows in folds)
 
             def fitted(i: int) -> tuple[float, Model | None]:
                 model = estimator.fit(train, points[i])
                 return evaluator.evaluate(model.transform(validation, points[i])), model if kept else None
 
-            try:
-                found = _side_by_side(session, fitted, len(points), self.getParallelism())
-            finally:
-                train.unpersist()
-                validation.unpersist()
+            found = _side_by_side(session, fitted, len(points), at_once)
             scores.append([score for score, _ in found])
             models.append([model for _, model in found])
         means = np.mean(scores, axis=0)
@@ -116,7 +133,7 @@ def cross_validate(
     """Grid search over parameters of `estimator` itself.
 
     With `fold_col` (see sampling.with_folds) the folds do not depend on how
-    the rows are partitioned. `parallelism` fits run at the same time.
+    the rows are partitioned. At least `parallelism` fits run at the same time.
     """
     points = ParamGridBuilder()
     for name, values in grid.items():

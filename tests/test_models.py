@@ -81,6 +81,16 @@ def test_fits_of_one_vs_rest_do_not_share_local_properties(blobs, watched):
     assert [own for own, _ in watched.seen] == [True] * 2
 
 
+def test_partitions_of_a_search_follow_the_size_of_its_rows(blobs, watched, monkeypatch):
+    rows = blobs.withColumn("fold", F.col("id") % 2).repartition(8, "id")
+    monkeypatch.setattr(type(rows.sparkSession.sparkContext), "defaultParallelism", 2)
+    for size, parts in ((classify.PART_BYTES, 1), (360 * 2 * 8 // 3, 3)):  # of 360 rows with two values
+        monkeypatch.setattr(classify, "PART_BYTES", size)
+        classify.cross_validate(watched, {"regParam": [0.1, 0.2]}, folds=2, fold_col="fold", parallelism=2).fit(rows)
+        assert {n for _, n in watched.seen} == {parts}
+        watched.seen.clear()
+
+
 def test_search_grids_have_the_published_sizes(spark):
     for kind, grid, points in (
         ("logistic", classify.LOGISTIC_GRID, 9),
