@@ -245,11 +245,12 @@ def decision_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     on different columns, the kernel machine, and multinomial logistic regression."""
     lines, found = _lines(spark, sf_dir), []
     narrow, wide = (2, 3), (0, 2)  # discount x tax; quantity x discount
+    pairs = {positions: _pair(lines, positions) for positions in (narrow, wide)}
     for name, positions, h in (
         ("linear_svm_binary", narrow, 0.01), ("linear_svm_multiclass", narrow, 0.01), ("linear_svm_multiclass", wide, 0.05),
         ("rbf_svm", narrow, 0.01), ("logistic_multinomial", narrow, 0.01),
     ):
-        rows, cols = _pair(lines, positions)
+        rows, cols = pairs[positions]
         if name == "linear_svm_binary":
             model = newton_svm.squared_hinge_svm(rows.withColumn("label", binary_label("label", 0.0)))
         elif name == "linear_svm_multiclass":
