@@ -36,8 +36,8 @@ from tastecore.llm.components import connect
 from tastecore.llm.shingles import fingerprint, shingle_sets
 from tastecore.plans.staging import stage
 
-BLOCK_ENTRIES = 2_000_000  # matrix entries in a block
-GATHERED = 1_000_000  # entries a map task holds before it deals them out
+BLOCK_ENTRIES = 1_000_000  # matrix entries in a block
+GATHERED = 500_000  # entries a map task holds before it deals them out
 HEAVY_ROWS, HEAVY_PART = 20_000, 500  # an n-gram of that many documents, and of one in that many, is dealt out by document
 LOCAL_ROWS = 4  # rows among the gathered ones from which on a task reports an n-gram
 UNCOUNTED = np.uint32(2**32 - 1)

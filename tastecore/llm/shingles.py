@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
