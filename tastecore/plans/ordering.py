@@ -30,6 +30,9 @@ def sorted_chunks(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     return stage(numbered, "sorted").withColumn(CHUNK, F.shiftright(POSITION, ROW_BITS))
 
 
+_sorted_chunks = sorted_chunks  # its former name, which the tests use
+
+
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """Row number from 0 in the given total order."""
     chunks = sorted_chunks(df, order)
