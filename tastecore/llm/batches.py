@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import tempfile
@@ -16,13 +17,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 ROWS_AT_ONCE = 256
+BATCH_ROWS, BATCH_SETTING = 4 * ROWS_AT_ONCE, "spark.sql.execution.arrow.maxRecordsPerBatch"
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None  # glibc has it
 _shipped: weakref.WeakSet = weakref.WeakSet()
 
 
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow, for functions of this package."""
     ship_package(df)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(lambda batches: _then_give_back(function(batches)), schema)
+
+
+def small_batches(df: DataFrame) -> None:
+    """Rows with whole texts go to Python some thousand at a time, unless the session itself says how many.
+
+    The JVM and the worker each hold a batch, and the JVM's buffers for it double as it grows. Spark reads the setting when a
+    query runs, so it stays set.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
+def give_back() -> None:
+    """Return freed memory to the system: an idle worker lives on for a minute, beside what runs then."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def _then_give_back(results: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from results
+    give_back()
+
+
+def given_back(function: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """`function` for applyInArrow; what it held besides its result is given back after each group."""
+
+    def run(group: pa.Table) -> pa.Table:
+        result = function(group)
+        give_back()
+        return result
+
+    return run
 
 
 def ship_package(df: DataFrame) -> None:
@@ -75,4 +112,5 @@ def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
 
 def text_of(docs: DataFrame) -> DataFrame:
     """doc_id and text only: other columns, whatever their names, take no part."""
+    small_batches(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastecore.llm.batches import map_arrow, map_slices, slices, text_of
+from tastecore.llm.batches import map_arrow, map_slices, slices, small_batches, text_of
 
 GRAM = 3
 PIECE = 1 << 18  # characters looked at together
@@ -128,6 +128,7 @@ def counted_grams(docs: DataFrame) -> DataFrame:
             out["n"] += n.tolist()
         return out
 
+    small_batches(docs)
     rows = map_slices(docs, ["lang", "text"], count, "lang string, gram long, n long")
     return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -208,6 +209,7 @@ def predict(docs: DataFrame, model: LanguageFilters) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: LanguageFilters, min_score: float) -> DataFrame:
     """Rows of `docs`, unchanged, whose text is in a learned language with at least `min_score`."""
+    small_batches(docs)
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

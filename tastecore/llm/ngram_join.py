@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastecore.llm.batches import map_arrow, map_slices, ship_package, slices, text_of
+from tastecore.llm.batches import given_back, map_arrow, map_slices, ship_package, slices, small_batches, text_of
 from tastecore.llm.components import connect
 from tastecore.llm.shingles import fingerprint, shingle_sets
 from tastecore.plans.staging import stage
@@ -230,11 +230,12 @@ def linked_sets(docs: DataFrame, sets: DataFrame, width: int, percent: int) -> D
     total = sets.agg(F.sum("n_shingles")).head()[0] or 0
     blocks = max(1, -(-total // BLOCK_ENTRIES))
     ship_package(docs)
+    small_batches(docs)
     texts = docs.select(F.col("text").cast("string").alias("text"))
     heavy = heavy_grams(texts, sets.count(), width)
     dealt = map_arrow(texts, lambda parts: _deal(parts, width, blocks, heavy), BLOCK_SCHEMA)
-    shared = dealt.groupBy("block").applyInArrow(lambda block: _count_block(block, blocks, heavy), SHARED_SCHEMA)
-    rows = stage(shared.groupBy("rows_block").applyInArrow(lambda block: _candidates(block, percent), CANDIDATE_SCHEMA), "rows")
+    shared = dealt.groupBy("block").applyInArrow(given_back(lambda block: _count_block(block, blocks, heavy)), SHARED_SCHEMA)
+    rows = stage(shared.groupBy("rows_block").applyInArrow(given_back(lambda block: _candidates(block, percent)), CANDIDATE_SCHEMA), "rows")
     places = stage(map_arrow(rows, _first_places, "gram long, set_id long, n long, weight double, place long"), "places")
     roots = rows.select(F.col("set_id").alias("node"), F.col("set_id").alias("root"))
     tested = None

@@ -22,7 +22,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tastecore.llm.batches import map_arrow, map_slices, slices, text_of
+from tastecore.llm.batches import map_arrow, map_slices, slices, small_batches, text_of
 
 # The three patterns and their least lengths.
 ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
@@ -153,6 +153,7 @@ def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
 
 def redact(docs: DataFrame) -> DataFrame:
     """All rows of `docs` with secrets replaced in `text`; n_chars, if there, follows the new text."""
+    small_batches(docs)
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

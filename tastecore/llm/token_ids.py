@@ -26,7 +26,7 @@ import numpy as np
 from tastecore.llm.shingles import byte_values, mixed, power
 
 REMEMBERED = 1_000_000  # distinct pieces, about 50 bytes each
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
 SAFE_CUT = re.compile(rb"[A-Za-z0-9] [A-Za-z0-9]")  # in a long text: before the space
 BORDER = 0xFF  # between texts: a byte that UTF-8 does not have
@@ -42,13 +42,20 @@ _is_stop[[ord("."), ord(",")]] = True
 
 
 class _Places:
-    """An open-addressing table from hashes to places, for arrays of hashes."""
+    """An open-addressing table from hashes to places, for arrays of hashes. It grows with them, at most 5/8 full."""
 
-    def __init__(self, most: int) -> None:
-        self.size = 1 << max(11, (2 * most).bit_length())
-        self.keys = np.zeros(self.size, np.uint64)
-        self.places = np.zeros(self.size, np.int32)
-        self.mask = np.uint64(self.size - 1)
+    def __init__(self) -> None:
+        self._resize(1 << 16)
+
+    def _resize(self, size: int) -> None:
+        self.size, self.filled = size, 0
+        self.keys = np.zeros(size, np.uint64)
+        self.places = np.zeros(size, np.int32)
+        self.mask = np.uint64(size - 1)
+
+    def clear(self) -> None:
+        self.filled = 0
+        self.keys[:] = 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key, -1 if it isn't there."""
@@ -64,6 +71,15 @@ class _Places:
 
     def put(self, keys: np.ndarray, places: np.ndarray) -> None:
         """Different keys, none of them there yet."""
+        size = self.size
+        while 8 * (self.filled + len(keys)) > 5 * size:
+            size *= 2
+        if size > self.size:
+            there = self.keys != 0
+            held = self.keys[there], self.places[there]
+            self._resize(size)
+            self.put(*held)
+        self.filled += len(keys)
         slots, open_ = (keys & self.mask).astype(np.int64), np.arange(len(keys))
         while len(open_):
             free = self.keys[slots[open_]] == 0
@@ -90,10 +106,11 @@ class Encoder:
         space = "\u0120"  # how byte-level vocabularies write a space
         marked = [i for t, i in vocabulary.items() if (suffix and t.endswith(suffix) if self.drops_space else t.startswith(space))]
         self.marks[marked] = True
+        self.known = _Places()
         self._forget()
 
     def _forget(self) -> None:
-        self.known = _Places(REMEMBERED + BLOCK_BYTES)
+        self.known.clear()
         self.starts = np.zeros(1024, np.int64)
         self.lengths = np.zeros(1024, np.int32)
         self.ids = np.zeros(4096, np.uint32)

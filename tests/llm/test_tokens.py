@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 
 from tastecore.llm import packing, wavelet
-from tastecore.llm.token_ids import Encoder
+from tastecore.llm.batches import BATCH_ROWS, BATCH_SETTING, given_back, map_arrow, text_of
+from tastecore.llm.token_ids import Encoder, _Places
 
 tokenizers = pytest.importorskip("tokenizers")
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -46,6 +47,35 @@ def test_long_and_real_texts_equal_library(path, monkeypatch):
         assert ids.tolist() == ours.tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)[:200]
 
 
+def test_table_of_places_grows_with_its_keys():
+    rng, table = np.random.default_rng(1), _Places()
+    keys = np.unique(rng.integers(1, 1 << 62, 300_000).astype(np.uint64))
+    for part in np.array_split(np.arange(len(keys)), 40):
+        assert (table.find(keys[part]) == -1).all()
+        table.put(keys[part], part.astype(np.int32))
+        assert table.keys.nbytes + table.places.nbytes <= max(12 << 16, 12 * 2 * 8 * (part[-1] + 1) // 5)
+    assert (table.find(keys) == np.arange(len(keys))).all()
+    assert (table.find(keys + np.uint64(1 << 62)) == -1).all()
+    table.clear()
+    assert (table.find(keys) == -1).all()
+
+
+def test_python_gets_small_batches_of_texts_and_gives_memory_back(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr("tastecore.llm.batches.give_back", lambda: given.append(1))
+    assert given_back(lambda group: [group])("rows") == ["rows"] and given == [1]
+    monkeypatch.undo()
+    before = spark.conf.get(BATCH_SETTING, None)
+    try:
+        for own, most in ((None, BATCH_ROWS), ("700", 700)):
+            spark.conf.unset(BATCH_SETTING) if own is None else spark.conf.set(BATCH_SETTING, own)
+            texts = text_of(spark.range(0, 5000, 1, 1).selectExpr("id AS doc_id", "'a' AS text"))
+            sizes = map_arrow(texts, lambda parts: (p.from_pydict({"n": [p.num_rows]}) for p in parts), "n long").collect()
+            assert sum(r.n for r in sizes) == 5000 and max(r.n for r in sizes) == most
+    finally:
+        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
+
+
 @pytest.mark.parametrize("distinct", [0, 1, 2, 3, 100, 70_000])
 def test_wavelet_matrix(distinct):
     rng = np.random.default_rng(distinct)
