@@ -86,17 +86,17 @@ def learn_domains(
 
 def with_posteriors(docs: DataFrame, classifier: DomainClassifier) -> DataFrame:
     """`docs` with its number of tokens and its posteriors, one per domain."""
-    tokens = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("double")
-    docs = docs.withColumn(TOKENS, tokens)
+    words = F.col(WORDS)
+    # Texts are cut once: an empty first or last word stands before or after white space.
+    tokens = F.size(words) - (F.get(words, F.lit(0)) == "").cast("int") - ((F.size(words) > 1) & (F.element_at(words, -1) == "")).cast("int")
+    docs = docs.withColumn(WORDS, _words(F.col("text"))).withColumn(TOKENS, tokens.cast("double"))
     if classifier.model is None:
         ones = [F.lit(1.0 if i in classifier.learned else 0.0) for i in range(len(classifier.domains))]
-        return docs.withColumn(POSTERIORS, F.array(*ones).cast("array<double>"))
-    scored = classifier.model.transform(docs.withColumn(WORDS, _words(F.col("text"))))
-    known = F.transform(
-        F.array(*[F.lit(classifier.learned.index(i) if i in classifier.learned else -1) for i in range(len(classifier.domains))]),
-        lambda place: F.when(place >= 0, F.get(SHARES, place)).otherwise(0.0),
-    )
-    return scored.withColumn(SHARES, vector_to_array(PROBABILITY)).withColumn(POSTERIORS, known).drop(WORDS, COUNTS, SHARES, RAW, PROBABILITY, BEST)
+        return docs.withColumn(POSTERIORS, F.array(*ones).cast("array<double>")).drop(WORDS)
+    scored = classifier.model.transform(docs).withColumn(SHARES, vector_to_array(PROBABILITY))
+    # No transform over the places: Catalyst would move the whole model into its lambda, and run it once per domain.
+    known = [F.get(SHARES, F.lit(classifier.learned.index(i))) if i in classifier.learned else F.lit(0.0) for i in range(len(classifier.domains))]
+    return scored.withColumn(POSTERIORS, F.array(*known)).drop(WORDS, COUNTS, SHARES, RAW, PROBABILITY, BEST)
 
 
 @dataclass(frozen=True)

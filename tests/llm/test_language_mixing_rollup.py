@@ -1,5 +1,6 @@
 """Held-out language accuracy, mixing against a direct solution, rollups against a recount."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -126,6 +127,21 @@ def test_projected_steps_equal_direct_loop(spark):
     assert np.allclose(sorted(found), sorted(r), atol=1e-9) and (r == 0).any() and np.abs(rates.residual).max() < 0.02
 
 
+def test_posteriors_run_the_model_once_a_row(spark, docs):
+    """Inside a lambda the whole model, texts included, would run once per domain."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    scored = mixing.with_posteriors(docs.select("doc_id", "text"), mixing.learn_domains(docs, labels, mix_domain()))
+    plan = scored.select("doc_id", mixing.TOKENS, mixing.POSTERIORS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("split(") == 1 and "regexp" not in plan
+
+
+def test_tokens_are_the_runs_without_white_space(spark):
+    texts = [None, "", " ", "\t\n", "a", " a", "a ", " a\r\nb\x0b", "a b  c", "\u00a0", "a\u2003b c", "\u0130 I\x1f x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = mixing.with_posteriors(rows, mixing.DomainClassifier((), None)).collect()
+    assert {r.doc_id: r[mixing.TOKENS] for r in found} == {i: float(len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for i, t in enumerate(texts)}
+
+
 def test_mixing_edges(spark):
     docs = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (None, None, "y")], "doc_id long, text string, rate string")
     labels = spark.createDataFrame([], "doc_id long, quality long, toxic long")
