@@ -3,7 +3,7 @@
 The graph starts from blocks of vectors that lie near each other along random hyperplanes, compared
 within the block. Then neighbours of neighbours are joined: around every node, a drawn part of its
 neighbours and of the nodes it is a neighbour of are compared with each other, and each keeps its nearest.
-A node's part is bounded whatever the number of nodes that name it. Rounds go on until fewer than SETTLED of all
+A node's part is bounded (AROUND) whatever the number of nodes that name it. Rounds go on until fewer than SETTLED of all
 neighbours are new; every change brings a node nearer neighbours, so they end.
 
 Search is greedy over the graph and its reverse, for all queries at once: the nearest nodes seen that
@@ -21,8 +21,7 @@ candidates all are returned; ties go to the smaller id; without candidates a que
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
-from itertools import count
+from itertools import count, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
 from tastecore.llm.batches import map_arrow, slices
-from tastecore.llm.vectors import classes, drawn, ranked, usable
+from tastecore.llm.vectors import drawn, in_classes, ranked, usable
 from tastecore.plans.staging import stage
 
 NEIGHBOURS = 30
 STARTS, BLOCK, BLOCK_NEIGHBOURS = 8, 512, 15
-DRAWN = 12
+DRAWN, AROUND = 12, 30  # of a node's neighbours, on average; of those and of the nodes it is a neighbour of, at most
 SETTLED = 0.05  # share of new neighbours after which the graph is done
 ENTRIES, BEAM, OPENED = 1_024, 200, 100
 PLANES = 10
@@ -61,24 +60,28 @@ def _pair_batch(node: np.ndarray, other: np.ndarray, apart: np.ndarray) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(other, pa.int64()), pa.array(apart, pa.float64())], names=["node", "other", "apart"])
 
 
-def _sides(batches: Iterator[pa.RecordBatch], kind: str, planes: np.ndarray, middle: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The sides of the hyperplanes as one number, and the place along the last."""
+def _sides(batches: Iterator[pa.RecordBatch], kind: str, planes: np.ndarray, middles: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """For each set of hyperplanes its number, the sides as one number, and the place along the last."""
     for rows in slices(batches, 4096):
-        along = _codes(rows.column(1).to_pylist(), kind) @ planes - middle
-        side = (along[:, :-1] > 0) @ (1 << np.arange(PLANES)[::-1])
-        columns = [rows.column(0), rows.column(1), pa.array(side, pa.int64()), pa.array(along[:, -1], pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["node", "code", "side", "along"])
+        codes = _codes(rows.column(1).to_pylist(), kind)
+        for start, (plane, middle) in enumerate(zip(planes, middles)):
+            along = codes @ plane - middle
+            side = (along[:, :-1] > 0) @ (1 << np.arange(PLANES)[::-1])
+            columns = [rows.column(0), rows.column(1), pa.array(np.full(len(along), start)), pa.array(side, pa.int64()), pa.array(along[:, -1], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "code", "start", "side", "along"])
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
-    """Nearest rows within runs of BLOCK rows."""
+    """Nearest rows within runs of at most BLOCK rows of one start."""
     for rows in _regrouped(batches, BLOCK):
-        nodes = rows.column("node").to_numpy()
-        apart = _apart(_codes(rows.column("code").to_pylist(), kind))
-        keep = min(BLOCK_NEIGHBOURS, len(nodes) - 1)
-        if keep > 0:
-            best = np.argpartition(apart, keep - 1, axis=1)[:, :keep]
-            yield _pair_batch(np.repeat(nodes, keep), nodes[best].ravel(), np.take_along_axis(apart, best, 1).ravel())
+        borders = np.flatnonzero(np.diff(rows.column("start").to_numpy())) + 1
+        for begin, end in pairwise([0, *borders.tolist(), rows.num_rows]):
+            nodes = rows.column("node").to_numpy()[begin:end]
+            apart = _apart(_codes(rows.column("code").slice(begin, end - begin).to_pylist(), kind))
+            keep = min(BLOCK_NEIGHBOURS, len(nodes) - 1)
+            if keep > 0:
+                best = np.argpartition(apart, keep - 1, axis=1)[:, :keep]
+                yield _pair_batch(np.repeat(nodes, keep), nodes[best].ravel(), np.take_along_axis(apart, best, 1).ravel())
 
 
 def _regrouped(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -99,22 +102,27 @@ def _regrouped(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
 
 
 def _around(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
-    """Rows (center, node, code, farthest) in order of center: pairs around a center nearer than a node's farthest."""
-    held: list[tuple] = []
+    """Rows (center, node, code, farthest) in order of center: pairs around a center nearer than a node's farthest.
+
+    A node that stands twice around a center counts once.
+    """
+    held: dict[int, tuple] = {}
+    center = None
 
     def pairs() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        nodes = np.array([h[1] for h in held], np.int64)
-        apart = _apart(_codes([h[2] for h in held], kind))
-        i, j = np.nonzero(apart < np.array([h[3] for h in held])[:, None])
+        nodes = np.array(list(held), np.int64)
+        apart = _apart(_codes([code for code, _ in held.values()], kind))
+        i, j = np.nonzero(apart < np.array([far for _, far in held.values()])[:, None])
         return nodes[i], nodes[j], apart[i, j]
 
     for rows in slices(batches, 4096):
         found = []
-        for row in zip(*[c.to_pylist() for c in rows.columns]):
-            if held and row[0] != held[0][0]:
+        for around, node, code, far in zip(*[c.to_pylist() for c in rows.columns]):
+            if held and around != center:
                 found.append(pairs())
-                held = []
-            held.append(row)
+                held = {}
+            center = around
+            held[node] = (code, far)
         if found:
             yield _pair_batch(*map(np.concatenate, zip(*found)))
     if held:
@@ -132,23 +140,21 @@ def build_graph(codes: DataFrame, total: int, kind: str, seed: int = 0) -> DataF
     """(node, other, apart): about the NEIGHBOURS nearest others of each node of (node, code)."""
     sample = drawn(codes, "node", ENTRIES, total).collect() or codes.limit(1).collect()  # about ENTRIES rows
     values = _codes([r["code"] for r in sample], kind)
-    draw = np.random.default_rng(seed)
-    starts = []
-    for _ in range(STARTS):
-        planes = draw.normal(size=(values.shape[1], PLANES + 1))
-        middle = np.median(values @ planes, axis=0)
-        sides = map_arrow(codes, lambda rows, p=planes, m=middle: _sides(rows, kind, p, m), "node long, code binary, side long, along double")
-        ordered = sides.repartitionByRange("side", "along", "node").sortWithinPartitions("side", "along", "node").select("node", "code")
-        starts.append(map_arrow(ordered, lambda rows: _block_pairs(rows, kind), PAIRS))
-    graph = stage(_nearest(reduce(DataFrame.unionAll, starts).withColumn("known", F.lit(False)), NEIGHBOURS), "graph")
+    planes = np.random.default_rng(seed).normal(size=(STARTS, values.shape[1], PLANES + 1))
+    middles = np.median(values @ planes, axis=1)
+    # All starts are dealt together: with one exchange each, many partitions would leave short blocks.
+    sides = map_arrow(codes, lambda rows: _sides(rows, kind, planes, middles), "node long, code binary, start long, side long, along double")
+    order = ["start", "side", "along", "node"]
+    blocks = sides.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "code", "start")
+    graph = stage(_nearest(map_arrow(blocks, lambda rows: _block_pairs(rows, kind), PAIRS).withColumn("known", F.lit(False)), NEIGHBOURS), "graph")
     for turn in count():
-        chance = F.pmod(F.xxhash64("node", "other", F.lit(turn)), F.lit(1 << 30))
-        ahead = graph.filter(chance < F.lit(int((1 << 30) * DRAWN / NEIGHBOURS))).select(F.col("node").alias("center"), F.col("other").alias("node"))
-        back = ranked(graph.select(F.col("other").alias("center"), "node", chance.alias("_draw")), "center", [F.col("_draw"), F.col("node")], DRAWN).select("center", "node")
+        # A drawn neighbour meets the others around a node, and the node those around its neighbour.
+        drawn_edges = graph.withColumn("_draw", F.pmod(F.xxhash64("node", "other", F.lit(turn)), F.lit(1 << 30))).filter(F.col("_draw") < F.lit(int((1 << 30) * DRAWN / NEIGHBOURS)))
+        ahead = drawn_edges.select(F.col("node").alias("center"), F.col("other").alias("node"), "_draw")
+        back = drawn_edges.select(F.col("other").alias("center"), "node", "_draw")
         farthest = graph.groupBy("node").agg(F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.max("apart")).otherwise(F.lit(float("inf"))).alias("farthest"))
-        around = ahead.unionAll(back).distinct().join(codes, "node").join(farthest, "node")
-        met = around.select("center", "node", "code", "farthest").repartition("center").sortWithinPartitions("center")
-        found = map_arrow(met, lambda rows: _around(rows, kind), PAIRS).withColumn("known", F.lit(False))
+        around = ranked(ahead.unionAll(back).join(codes, "node").join(farthest, "node"), "center", [F.col("_draw"), F.col("node")], AROUND)
+        found = map_arrow(around.select("center", "node", "code", "farthest").sortWithinPartitions("center"), lambda rows: _around(rows, kind), PAIRS).withColumn("known", F.lit(False))
         graph = stage(_nearest(graph.withColumn("known", F.lit(True)).unionAll(found), NEIGHBOURS), "graph")
         edges, new = graph.agg(F.count(F.lit(1)), F.count(F.when(~F.col("known"), 1))).head()
         if new <= SETTLED * edges:
@@ -197,8 +203,10 @@ def greedy_search(graph: DataFrame, codes: DataFrame, queries: DataFrame, total:
         opening = kept.filter("now").select("query_id", "node")
         if not opening.head(1):
             return kept.select("query_id", "node", "apart")
-        ahead = opening.join(edges, "node").select("query_id", F.col("other").alias("node")).distinct()
-        new = stage(measured(ahead.join(seen.select("query_id", "node"), ["query_id", "node"], "left_anti")), "measured")
+        ahead = opening.join(edges, "node").select("query_id", F.col("other").alias("node"), F.lit(False).alias("seen"))
+        # One exchange by node serves what is new and the codes.
+        met = ahead.unionAll(seen.select("query_id", "node", F.lit(True))).repartition("node").groupBy("query_id", "node").agg(F.max("seen").alias("seen"))
+        new = stage(measured(met.filter(~F.col("seen"))), "measured")
         seen = seen.unionAll(new)
         beam = kept.select("query_id", "node", "apart", (F.col("opened") | F.col("now")).alias("opened")).unionAll(new.withColumn("opened", F.lit(False)))
 
@@ -209,7 +217,8 @@ def nearest_rows(table: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     `queries` holds the vec_id of the rows that ask. A vec_id that stands in several rows is one row; of its vectors the smallest.
     """
     rows = stage(usable(table, with_zero=False).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
-    nodes, members = (stage(x, "classes") for x in classes(rows, "vector", k + 1))
+    placed = stage(in_classes(rows, "vector", k + 1), "classes")
+    nodes, members = placed.filter("_place = 1").select("node", "vector"), placed.select("node", "vec_id")
     total = nodes.count()
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:

@@ -29,10 +29,15 @@ def classes(rows: DataFrame, vector: str, members: int) -> tuple[DataFrame, Data
     For the k nearest, k + 1 members of a class are enough: equal vectors are equally near, and smaller ids go first.
     Only that many rows of a vector leave any task.
     """
+    ranked = in_classes(rows, vector, members)
+    return ranked.filter("_place = 1").select("node", vector), ranked.select("node", "vec_id")
+
+
+def in_classes(rows: DataFrame, vector: str, members: int) -> DataFrame:
+    """(node, vector, vec_id, _place): the rows of `classes` in one table, with their places from 1."""
     same = Window.partitionBy(vector).orderBy("vec_id")
     ranked = rows.withColumn("_place", F.row_number().over(same)).filter(F.col("_place") <= members)
-    ranked = ranked.withColumn("node", F.min("vec_id").over(Window.partitionBy(vector)))
-    return ranked.filter("_place = 1").select("node", vector), ranked.select("node", "vec_id")
+    return ranked.withColumn("node", F.min("vec_id").over(Window.partitionBy(vector))).select("node", vector, "vec_id", "_place")
 
 
 def drawn(rows: DataFrame, key: str, most: int, total: int) -> DataFrame:

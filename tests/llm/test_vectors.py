@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tastecore.llm import mtree, nn_descent
@@ -113,6 +114,43 @@ def test_rounds_go_on_until_the_graph_settles(spark, monkeypatch):
     assert sum(hits) >= 0.9 * len(hits)
 
 
+@pytest.fixture()
+def many_partitions(spark):
+    held = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for key, value in held.items():
+        spark.conf.set(key, value)
+
+
+def test_blocks_stay_long_over_many_partitions(spark, monkeypatch, many_partitions):
+    """2,048 nodes in 64 partitions: dealt start by start, blocks would hold 32 of them, and together some 250."""
+    staged, graphs = nn_descent.stage, []
+
+    def first(df, label="stage", *rest):
+        graphs.append((df, staged(df, label, *rest)))
+        raise InterruptedError
+
+    monkeypatch.setattr(nn_descent, "stage", first)
+    vectors = np.random.default_rng(5).normal(0, 0.3, (2048, 12))
+    codes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(vectors)], "node long, code binary").repartition(4)
+    with pytest.raises(InterruptedError):
+        nn_descent.build_graph(codes, 2048, "f8")
+    by_id = dict(enumerate(vectors))
+    found = graphs[0][1].filter("node % 16 = 0").collect()
+    hits = [i in {r.other for r in found if r.node == q} for q in range(0, 2048, 16) for _, i in nearest(by_id, q, 10)]
+    assert sum(hits) >= 0.7 * len(hits)
+
+
+def test_around_counts_a_repeated_node_once():
+    code = [np.array([x, 0.0]).tobytes() for x in (1.0, 2.0, 4.0)]
+    rows = [(7, 1, code[0]), (7, 2, code[1]), (7, 1, code[0]), (8, 3, code[2]), (8, 2, code[1])]
+    batch = pa.RecordBatch.from_pydict({"center": [r[0] for r in rows], "node": [r[1] for r in rows], "code": [r[2] for r in rows], "farthest": [math.inf] * 5})
+    found = [tuple(r.values()) for b in nn_descent._around(iter([batch.slice(0, 2), batch.slice(2)]), "f8") for r in b.to_pylist()]
+    assert sorted(found) == [(1, 2, 1.0), (2, 1, 1.0), (2, 3, 4.0), (3, 2, 4.0)]
+
+
 def test_a_repeated_id_is_one_row_with_its_smallest_vector(spark):
     rows = [(i, [float(i), 1.0], 0) for i in range(1, 30)] + [(5, [-40.0, 1.0], 0), (1, [1.0, 1.0], 0)]
     for parts in (1, 7):
